@@ -125,5 +125,12 @@ def calendar_factor(date) -> Column:
     return season * weekday
 
 
+def format_fixed(value, decimals: int = 1) -> Column:
+    """Fixed-point text rounded on the exact binary value, ties to even (like
+    Python's and C's ``%.Nf``); no grouping separators."""
+    return F.regexp_replace(F.format_number(_c(value).cast("double"), decimals), ",", "")
+
+
 def alert_message(template: str, value) -> Column:
-    return F.format_string(template, _c(value))
+    """``template`` holds one ``%.1f``; the number is formatted by :func:`format_fixed`."""
+    return F.format_string(template.replace("%.1f", "%s"), format_fixed(value, 1))

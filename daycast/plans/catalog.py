@@ -96,3 +96,226 @@ QUERIES = {
     "build_daily_features": q_build_daily_features,
     "build_daily_features_events": q_build_daily_features_events,
 }
+
+
+# -- imputation, profiling, bounds --------------------------------------------
+from daycast.operators import alerts as AL  # noqa: E402
+from daycast.operators import metrics as M  # noqa: E402
+from daycast.operators import patterns as PT  # noqa: E402
+from daycast.operators import scenario as SC  # noqa: E402
+from daycast.operators import splits as SP  # noqa: E402
+from daycast.sources import readers as R  # noqa: E402
+
+
+def q_impute_median(spark, sf_dir):
+    return rounded(P.impute_median(orders_dense(spark, sf_dir), S.FFILL_COLUMNS))
+
+
+def q_impute_mode(spark, sf_dir):
+    return rounded(P.impute_mode(orders_dense(spark, sf_dir), S.FFILL_COLUMNS))
+
+
+def q_null_counts(spark, sf_dir):
+    return P.null_counts(orders_dense(spark, sf_dir))
+
+
+def q_date_bounds(spark, sf_dir):
+    return P.date_bounds(events_visits(spark, sf_dir), S.VISIT_COLUMNS["arrival"], EVENT_SERIES)
+
+
+def q_distinct_days(spark, sf_dir):
+    return D.distinct_days(orders_visits(spark, sf_dir))
+
+
+def q_tail_by_date(spark, sf_dir):
+    return rounded(D.tail_by_date(orders_features(spark, sf_dir), 50))
+
+
+def q_iqr_threshold(spark, sf_dir):
+    thr = M.iqr_threshold(orders_features(spark, sf_dir), S.ADMISSIONS)
+    return thr.withColumn("occupancy_threshold", F.lit(S.OCCUPANCY_THRESHOLD))
+
+
+def history_alert_rules(threshold_col: str = "threshold"):
+    return AL.default_rules(threshold_col, S.OCCUPANCY_THRESHOLD, S.ADMISSIONS, S.OCCUPANCY)
+
+
+def with_admission_threshold(features: DataFrame, group_cols=()) -> DataFrame:
+    thr = M.iqr_threshold(features, S.ADMISSIONS, group_cols=group_cols).select(*group_cols, "threshold")
+    return M.attach_stats(features, thr, group_cols)
+
+
+def q_alert_rows(spark, sf_dir):
+    f = with_admission_threshold(orders_features(spark, sf_dir))
+    return rounded(AL.alert_rows(f, history_alert_rules()))
+
+
+def q_flag_alerts(spark, sf_dir):
+    f = with_admission_threshold(events_features(spark, sf_dir), EVENT_SERIES)
+    out = AL.flag_alerts(f, history_alert_rules())
+    return out.select(*EVENT_SERIES, S.DATE, "admission_alert", "occupancy_alert")
+
+
+def q_monthly_pattern(spark, sf_dir):
+    return rounded(PT.monthly_pattern(orders_features(spark, sf_dir)))
+
+
+def q_weekly_pattern(spark, sf_dir):
+    return rounded(PT.weekly_pattern(orders_features(spark, sf_dir)))
+
+
+def q_seasonal_pattern(spark, sf_dir):
+    return rounded(PT.seasonal_pattern(orders_features(spark, sf_dir)))
+
+
+def q_weekend_pattern(spark, sf_dir):
+    return rounded(PT.weekend_pattern(orders_features(spark, sf_dir)))
+
+
+def q_weekly_pattern_events(spark, sf_dir):
+    return rounded(PT.weekly_pattern(events_features(spark, sf_dir), group_cols=EVENT_SERIES))
+
+
+# -- splits --------------------------------------------------------------------
+
+def q_split_by_time(spark, sf_dir):
+    out = SP.split_by_time(orders_features(spark, sf_dir), 0.2)
+    return out.select(S.DATE, S.ADMISSIONS, "split")
+
+
+def q_split_by_time_events(spark, sf_dir):
+    out = SP.split_by_time(events_features(spark, sf_dir), 0.2, EVENT_SERIES)
+    return out.select(*EVENT_SERIES, S.DATE, "split")
+
+
+def q_time_series_folds(spark, sf_dir):
+    out = SP.time_series_folds(orders_features(spark, sf_dir), 5)
+    return out.select(S.DATE, F.col("_row").cast("bigint").alias("row_index"), "test_fold")
+
+
+def q_random_split(spark, sf_dir):
+    out = SP.random_split(orders_features(spark, sf_dir), 0.2, 42)
+    return out.groupBy("split").agg(F.count(F.lit(1)).alias("days"))
+
+
+# -- metrics on a naive lag-7 forecast (stand-in for model output) ------------
+
+NAIVE_PAIRS = {"admissions": (S.ADMISSIONS, "admissionsLag7"), "occupancy": (S.OCCUPANCY, "occupancyLag7")}
+
+
+def naive_test_part(spark, sf_dir) -> DataFrame:
+    _, test = SP.train_test(orders_features(spark, sf_dir), 0.2)
+    return test
+
+
+def q_regression_metrics(spark, sf_dir):
+    return rounded(M.regression_metrics(orders_features(spark, sf_dir), NAIVE_PAIRS))
+
+
+def q_regression_metrics_events(spark, sf_dir):
+    return rounded(M.regression_metrics(events_features(spark, sf_dir), NAIVE_PAIRS, EVENT_SERIES))
+
+
+def q_extended_metrics(spark, sf_dir):
+    return rounded(M.extended_metrics(naive_test_part(spark, sf_dir), NAIVE_PAIRS))
+
+
+def q_residuals(spark, sf_dir):
+    out = M.residuals(naive_test_part(spark, sf_dir), S.ADMISSIONS, "admissionsLag7")
+    return rounded(out.select(S.DATE, "residual"))
+
+
+def q_residual_histogram(spark, sf_dir):
+    r = M.residuals(orders_features(spark, sf_dir), S.ADMISSIONS, "admissionsLag7")
+    return rounded(M.residual_histogram(r, "residual", bins=10))
+
+
+def q_residual_density(spark, sf_dir):
+    r = M.residuals(naive_test_part(spark, sf_dir), S.ADMISSIONS, "admissionsLag7")
+    return rounded(M.residual_density(r, "residual", gridsize=200))
+
+
+def q_residual_density_events(spark, sf_dir):
+    r = M.residuals(events_features(spark, sf_dir), S.OCCUPANCY, "occupancyLag1")
+    return rounded(M.residual_density(r, "residual", gridsize=50, group_cols=EVENT_SERIES))
+
+
+# -- scenario overlays ------------------------------------------------------------
+
+def q_zscore(spark, sf_dir):
+    out = SC.zscore(orders_features(spark, sf_dir), S.ADMISSIONS, 3.0)
+    return rounded(out.select(S.DATE, "zscore"))
+
+
+def q_calendar_factor(spark, sf_dir):
+    out = SC.calendar_scale(orders_features(spark, sf_dir))
+    return rounded(out.select(S.DATE, "calendarFactor", "scenarioAdmissions"))
+
+
+def peak_days(features: DataFrame, group_cols=()) -> DataFrame:
+    f = with_admission_threshold(features, group_cols)
+    return SC.peak_intervals(f, S.ADMISSIONS, "threshold", 7, group_cols)
+
+
+def q_interval_uplift(spark, sf_dir):
+    f = orders_features(spark, sf_dir)
+    out = SC.interval_uplift(f, peak_days(f))
+    return rounded(out.select(S.DATE, "peaks", "totalAdmissionsPeak", "avgOccupancyRatePeak"))
+
+
+def q_interval_uplift_events(spark, sf_dir):
+    f = events_features(spark, sf_dir)
+    out = SC.interval_uplift(f, peak_days(f, EVENT_SERIES), EVENT_SERIES)
+    return rounded(out.select(*EVENT_SERIES, S.DATE, "peaks", "totalAdmissionsPeak", "avgOccupancyRatePeak"))
+
+
+def q_scenario(spark, sf_dir):
+    f = orders_features(spark, sf_dir)
+    out = SC.scenario(f, peak_days(f))
+    return rounded(out.select(S.DATE, "scenarioAdmissions", "scenarioOccupancy", "peaks",
+                              "scenarioAdmissionsPeak", "scenarioOccupancyPeak"))
+
+
+# -- dates -------------------------------------------------------------------------
+
+def q_attach_daily_dates(spark, sf_dir):
+    f = events_features(spark, sf_dir).select(*EVENT_SERIES, F.col(S.DATE).alias("observed"), S.ADMISSIONS)
+    from pyspark.sql import Window
+    end = F.max("observed").over(Window.partitionBy(*EVENT_SERIES))
+    out = R.attach_daily_dates(f, end, "observed", EVENT_SERIES)
+    return rounded(out)
+
+
+QUERIES.update({
+    "impute_median": q_impute_median,
+    "impute_mode": q_impute_mode,
+    "null_counts": q_null_counts,
+    "date_bounds": q_date_bounds,
+    "distinct_days": q_distinct_days,
+    "tail_by_date": q_tail_by_date,
+    "iqr_threshold": q_iqr_threshold,
+    "alert_rows": q_alert_rows,
+    "flag_alerts": q_flag_alerts,
+    "monthly_pattern": q_monthly_pattern,
+    "weekly_pattern": q_weekly_pattern,
+    "seasonal_pattern": q_seasonal_pattern,
+    "weekend_pattern": q_weekend_pattern,
+    "weekly_pattern_events": q_weekly_pattern_events,
+    "split_by_time": q_split_by_time,
+    "split_by_time_events": q_split_by_time_events,
+    "time_series_folds": q_time_series_folds,
+    "random_split": q_random_split,
+    "regression_metrics": q_regression_metrics,
+    "regression_metrics_events": q_regression_metrics_events,
+    "extended_metrics": q_extended_metrics,
+    "residuals": q_residuals,
+    "residual_histogram": q_residual_histogram,
+    "residual_density": q_residual_density,
+    "residual_density_events": q_residual_density_events,
+    "zscore": q_zscore,
+    "calendar_factor": q_calendar_factor,
+    "interval_uplift": q_interval_uplift,
+    "interval_uplift_events": q_interval_uplift_events,
+    "scenario": q_scenario,
+    "attach_daily_dates": q_attach_daily_dates,
+})
