@@ -319,3 +319,113 @@ QUERIES.update({
     "scenario": q_scenario,
     "attach_daily_dates": q_attach_daily_dates,
 })
+
+
+# -- forecasting inputs (oracle-checked) ------------------------------------------------
+from daycast.plans import forecast as FC  # noqa: E402
+
+
+def q_future_calendar(spark, sf_dir):
+    return FC.future_calendar(orders_features(spark, sf_dir), 30)
+
+
+def q_future_calendar_events(spark, sf_dir):
+    return FC.future_calendar(events_features(spark, sf_dir), 30, EVENT_SERIES)
+
+
+def q_forecast_seed(spark, sf_dir):
+    return rounded(FC.seed_features(FC.forecast_seed(orders_features(spark, sf_dir))))
+
+
+def q_forecast_seed_events(spark, sf_dir):
+    f = events_features(spark, sf_dir)
+    return rounded(FC.seed_features(FC.forecast_seed(f, EVENT_SERIES), EVENT_SERIES))
+
+
+QUERIES.update({
+    "future_calendar": q_future_calendar,
+    "future_calendar_events": q_future_calendar_events,
+    "forecast_seed": q_forecast_seed,
+    "forecast_seed_events": q_forecast_seed_events,
+})
+
+
+# -- models (rows-only: predictions come from Spark ML trees) -------------------------
+from daycast.plans import jobs as J  # noqa: E402
+from daycast.plans import models as MD  # noqa: E402
+from daycast.plans import tuning as TU  # noqa: E402
+
+_TRAINED: dict = {}
+
+
+def trained(spark, sf_dir):
+    """E4 with the default models on the orders series, fitted once per session and table."""
+    key = (sf_dir, id(spark.sparkContext._jsc))
+    if key not in _TRAINED:
+        daily = J.prepare_model_input(orders_features(spark, sf_dir)).persist()
+        _TRAINED[key] = (daily, J.train(daily))
+    return _TRAINED[key]
+
+
+def q_train_metrics(spark, sf_dir):
+    return rounded(trained(spark, sf_dir)[1].test_metrics)
+
+
+def q_feature_importances(spark, sf_dir):
+    return rounded(trained(spark, sf_dir)[1].importances)
+
+
+def q_predict(spark, sf_dir):
+    daily, res = trained(spark, sf_dir)
+    out = MD.predict(res.model, daily)
+    return rounded(out.select(S.DATE, S.ADMISSIONS, S.OCCUPANCY, MD.PRED_ADM, MD.PRED_OCC,
+                              "admission_alert", "occupancy_alert"))
+
+
+def q_forecast_recursive(spark, sf_dir):
+    daily, res = trained(spark, sf_dir)
+    return rounded(FC.forecast_recursive(res.model, daily, 30))
+
+
+def q_forecast_job(spark, sf_dir):
+    daily, res = trained(spark, sf_dir)
+    out = J.forecast(spark, daily, res.model, 30)
+    return rounded(out["summary"])
+
+
+def q_history_with_forecast(spark, sf_dir):
+    daily, res = trained(spark, sf_dir)
+    fc = FC.forecast_recursive(res.model, daily, 30)
+    return rounded(FC.history_with_forecast(res.model, daily, fc, 50))
+
+
+def q_validate(spark, sf_dir):
+    daily, res = trained(spark, sf_dir)
+    return rounded(J.validate(res.model, daily)["metrics"])
+
+
+def q_cross_validate(spark, sf_dir):
+    daily = J.prepare_model_input(orders_features(spark, sf_dir))
+    feats = J.default_features(daily)
+    _, mean = TU.cross_validate(daily, feats, 2, {"maxIter": 10}, {"numTrees": 10})
+    return rounded(mean)
+
+
+def q_grid_search(spark, sf_dir):
+    daily = J.prepare_model_input(orders_features(spark, sf_dir))
+    feats = J.default_features(daily)
+    _, results = TU.grid_search(daily, feats, "admissions", {"maxIter": [5, 10], "maxDepth": [3, 4]}, 2)
+    return rounded(results)
+
+
+QUERIES.update({
+    "train_metrics": q_train_metrics,
+    "feature_importances": q_feature_importances,
+    "predict": q_predict,
+    "forecast_recursive": q_forecast_recursive,
+    "forecast_job": q_forecast_job,
+    "history_with_forecast": q_history_with_forecast,
+    "validate": q_validate,
+    "cross_validate": q_cross_validate,
+    "grid_search": q_grid_search,
+})

@@ -52,6 +52,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    One job computes the rows once; the returned frame's lineage starts at the
+    written files, which survive executor loss.
+    """
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
