@@ -429,3 +429,26 @@ QUERIES.update({
     "cross_validate": q_cross_validate,
     "grid_search": q_grid_search,
 })
+
+
+# -- streaming -------------------------------------------------------------------------
+from daycast.streaming import daily_updates as SU  # noqa: E402
+
+
+def q_daily_updates_events(spark, sf_dir):
+    """The events table read as a file stream; closed days of each event type."""
+    schema = T.load(spark, sf_dir, "events").schema
+
+    def to_visits(raw):
+        return raw.select(
+            "event_type",
+            F.col("event_id").alias(S.VISIT_COLUMNS["patient"]),
+            F.col("ts").alias(S.VISIT_COLUMNS["arrival"]),
+            F.concat(F.col("value").cast("string"), F.lit("%")).alias(S.VISIT_COLUMNS["occupancy"]),
+        )
+
+    return rounded(SU.run_daily_updates(spark, sf_dir, schema, "parquet", EVENT_SERIES, "2 days", to_visits,
+                                        glob="events.parquet"))
+
+
+QUERIES["daily_updates_events"] = q_daily_updates_events
