@@ -7,12 +7,13 @@ its size is bounded by the calendar, never by the number of raw records.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daycast import schema as S
 from daycast.functions import columns as C
-from daycast.operators.prepare import prepare_visits, require_columns
+from daycast.operators.prepare import column_medians, enrich_visits, require_columns
 
 V = S.VISIT_COLUMNS
 
@@ -22,13 +23,25 @@ def series_window(group_cols=(), order_col: str = S.DATE, descending: bool = Fal
     return Window.partitionBy(*group_cols).orderBy(order)
 
 
-def aggregate_daily(visits: DataFrame, group_cols=(), names: dict[str, str] | None = None) -> DataFrame:
+MEASURES = (("occupancyRate", S.OCCUPANCY), ("waitingHours", "waitingHours"), ("stayDuration", "stayDuration"))
+
+
+def aggregate_daily(visits: DataFrame, group_cols=(), names: dict[str, str] | None = None,
+                    impute: bool = False, approx: bool = False) -> DataFrame:
     """A1: one row per (series, arrival day) from enriched visits.
 
     totalAdmissions counts non-null patients; emergency and ICU flags are
     summed; occupancy, waiting time and stay are averaged. Calendar columns are
     recomputed from the day (they are constant per day). Visits without an
     arrival day are dropped (see :func:`undated_visits`).
+
+    ``impute=True`` gives the daily means of the measures with missing values
+    replaced by the column median (E1's imputation) without a second pass
+    over the visits when nothing is missing: the aggregate keeps per-day
+    sums, counts and null counts, the medians are computed only for columns
+    that have nulls, and each day's mean becomes (sum + nulls * median) /
+    (count + nulls). The aggregate (days x series rows) is then cached, since
+    every later step reads it.
     """
     v = {**V, **(names or {})}
     require_columns(visits, [v["patient"], v["arrival"]], strict=True)
@@ -38,15 +51,32 @@ def aggregate_daily(visits: DataFrame, group_cols=(), names: dict[str, str] | No
     for flag in ("isEmergency", "needsICU"):
         if flag in have:
             aggs.append(F.sum(flag).cast("bigint").alias(flag))
-    for src, out in (("occupancyRate", S.OCCUPANCY), ("waitingHours", "waitingHours"),
-                     ("stayDuration", "stayDuration")):
-        if src in have:
+    measures = [(src, out) for src, out in MEASURES if src in have]
+    for src, out in measures:
+        if impute:
+            aggs += [F.sum(src).alias(f"_s_{out}"), F.count(src).alias(f"_c_{out}"),
+                     F.count_if(F.col(src).isNull()).alias(f"_k_{out}")]
+        else:
             aggs.append(F.avg(src).alias(out))
     daily = (
         visits.where(day.isNotNull())
         .groupBy(*group_cols, day.alias(S.DATE))
         .agg(*aggs)
     )
+    if impute and measures:
+        daily = daily.persist(StorageLevel.MEMORY_AND_DISK)
+        nulls = daily.agg(*[F.sum(f"_k_{out}").alias(out) for _, out in measures]).first()
+        need = [src for src, out in measures if (nulls[out] or 0) > 0]
+        medians = column_medians(visits, need, approx) if need else {}
+        means = {}
+        for src, out in measures:
+            s_, c_, k_ = F.coalesce(F.col(f"_s_{out}"), F.lit(0.0)), F.col(f"_c_{out}"), F.col(f"_k_{out}")
+            m = medians.get(src)
+            if m is None:
+                means[out] = F.when(c_ > 0, s_ / c_.cast("double"))
+            else:
+                means[out] = F.when(c_ + k_ > 0, (s_ + k_.cast("double") * F.lit(float(m))) / (c_ + k_).cast("double"))
+        daily = daily.withColumns(means).drop(*[f"_{p}_{out}" for _, out in measures for p in "sck"])
     return daily.withColumns(C.calendar_columns(S.DATE))
 
 
@@ -148,12 +178,12 @@ def build_daily_features(visits: DataFrame, group_cols=(), names: dict[str, str]
                          impute: bool = True, approx: bool = False) -> DataFrame:
     """Raw visits -> gap-free daily series with calendar, lag and MA features.
 
-    One shuffle by (series, day) for the aggregate (partial aggregation on the
-    map side), one small join with the day spine, then window sorts on the
-    daily rows only.
+    One pass over the visits: one shuffle by (series, day) for the aggregate
+    (partial aggregation on the map side; medians only when values are
+    missing), one small join with the day spine, then window sorts on the
+    cached daily rows only.
     """
-    prepared = prepare_visits(visits, names, impute=impute, approx=approx)
-    daily = aggregate_daily(prepared, group_cols, names)
+    daily = aggregate_daily(enrich_visits(visits, names), group_cols, names, impute=impute, approx=approx)
     dense = forward_fill(densify_daily(daily, group_cols), S.FFILL_COLUMNS, group_cols)
     return add_lag_features(dense, group_cols)
 

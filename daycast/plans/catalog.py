@@ -36,7 +36,7 @@ def events_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_daily(spark, sf_dir) -> DataFrame:
-    return D.aggregate_daily(orders_visits(spark, sf_dir))
+    return D.aggregate_daily(P.enrich_visits(T.visits_from_orders(spark, sf_dir)), impute=True)
 
 
 def orders_dense(spark, sf_dir) -> DataFrame:
