@@ -7,7 +7,7 @@ rounded to 6 decimals so that results can be compared by value hash.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -280,8 +280,7 @@ def q_scenario(spark, sf_dir):
 
 def q_attach_daily_dates(spark, sf_dir):
     f = events_features(spark, sf_dir).select(*EVENT_SERIES, F.col(S.DATE).alias("observed"), S.ADMISSIONS)
-    from pyspark.sql import Window
-    end = F.max("observed").over(Window.partitionBy(*EVENT_SERIES))
+    end = F.max("observed").over(Window.partitionBy(*EVENT_SERIES))  # last observed day per series
     out = R.attach_daily_dates(f, end, "observed", EVENT_SERIES)
     return rounded(out)
 
