@@ -25,11 +25,30 @@ from daycast.session import scratch_path
 V = S.VISIT_COLUMNS
 
 
+_DAY_MICROS = 86_400_000_000
+
+
+def wall_clock_instant(c: str):
+    """The instant whose UTC wall clock equals the value's wall clock.
+
+    Watermarks need a ``timestamp``; reading the wall clock as UTC keeps the
+    one-day windows on the same calendar days as the batch path, whatever the
+    session time zone.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(c).cast("timestamp_ntz")))
+
+
+def instant_day(c):
+    """Calendar day (UTC) of an instant built by :func:`wall_clock_instant`."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(c) / F.lit(_DAY_MICROS)).cast("int"))
+
+
 def daily_aggregate_stream(visits: DataFrame, group_cols=(), names: dict[str, str] | None = None,
                            lateness: str = "2 days") -> DataFrame:
     """A1 on a streaming DataFrame: one row per (series, day), emitted once the day is closed."""
     v = {**V, **(names or {})}
-    e = enrich_visits(visits, names).withColumn("_ts", F.col(v["arrival"]).cast("timestamp"))
+    e = enrich_visits(visits, names).withColumn("_ts", wall_clock_instant(v["arrival"]))
     have = set(e.columns)
     aggs = [F.count(F.col(v["patient"])).cast("double").alias(S.ADMISSIONS)]
     for flag in ("isEmergency", "needsICU"):
@@ -45,7 +64,7 @@ def daily_aggregate_stream(visits: DataFrame, group_cols=(), names: dict[str, st
         .groupBy(*group_cols, F.window("_ts", "1 day").alias("_w"))
         .agg(*aggs)
     )
-    out = daily.withColumn(S.DATE, F.to_date(F.col("_w.start"))).drop("_w")
+    out = daily.withColumn(S.DATE, instant_day(F.col("_w.start"))).drop("_w")
     return out.withColumns(C.calendar_columns(S.DATE))
 
 
