@@ -87,3 +87,23 @@ def test_future_calendar(spark):
     out = FC.future_calendar(df, 3).orderBy("step").collect()
     assert [(r.date, r.dayOfMonth, r.month) for r in out] == [
         (dt.date(2024, 2, 28), 28, 2), (dt.date(2024, 2, 29), 29, 2), (dt.date(2024, 3, 1), 1, 3)]
+
+
+def test_history_lag_mode_matches_loop(spark):
+    start = dt.date(2024, 3, 1)
+    hist = [(start + dt.timedelta(days=i), float(8 + (i * 7) % 5), 70.0 + (i * 3) % 11) for i in range(4)]
+    df = spark.createDataFrame(hist, "date date, totalAdmissions double, avgOccupancyRate double")
+    fc = FC.forecast_recursive(stub_model(), df, days=9, lag_mode="history").orderBy("date").collect()
+    ya, yo = [h[1] for h in hist], [h[2] for h in hist]
+    for i, r in enumerate(fc, start=1):
+        def lags(seq):
+            l1 = seq[-1]
+            return l1, (seq[-3] if len(seq) >= 3 else l1), (seq[-7] if len(seq) >= 7 else l1), sum(seq[-7:]) / len(seq[-7:])
+        a, o = lags(ya), lags(yo)
+        d = hist[-1][0] + dt.timedelta(days=i)
+        pa = 0.5 * a[0] + 0.2 * a[1] + 0.1 * a[2] + 0.3 * a[3] + d.weekday() + 0.8
+        po = 0.6 * o[0] + 0.1 * o[1] + 0.2 * o[2] + 0.15 * o[3]
+        assert (r.admissionsLag1, r.admissionsLag3, r.admissionsLag7, r.admissionsMA7) == pytest.approx(a)
+        assert r.predicted_admissions == pytest.approx(pa) and r.predicted_occupancy == pytest.approx(po)
+        ya.append(pa)
+        yo.append(po)
