@@ -451,3 +451,73 @@ def q_daily_updates_events(spark, sf_dir):
 
 
 QUERIES["daily_updates_events"] = q_daily_updates_events
+
+
+# -- single window operators and forecast summary -------------------------------------
+from daycast.operators import metrics as _M  # noqa: E402
+from daycast.session import materialize  # noqa: E402
+
+_FORECASTS: dict = {}
+
+
+def orders_filled(spark, sf_dir) -> DataFrame:
+    return D.forward_fill(orders_dense(spark, sf_dir))
+
+
+def q_lag_features(spark, sf_dir):
+    """W1 + W2 on the filled daily series."""
+    f = orders_filled(spark, sf_dir)
+    out = f.select(
+        S.DATE,
+        *[D.lag_zero(S.ADMISSIONS, n).alias(f"admissionsLag{n}") for n in S.LAGS],
+        *[D.lag(S.OCCUPANCY, n).alias(f"occupancyLag{n}") for n in S.LAGS],
+    )
+    return rounded(D.backward_fill(out, [f"occupancyLag{n}" for n in S.LAGS]))
+
+
+def q_rolling_mean(spark, sf_dir):
+    """7-day means with and without the current day."""
+    f = orders_filled(spark, sf_dir)
+    return rounded(f.select(
+        S.DATE,
+        D.rolling_mean(S.ADMISSIONS).alias("admissionsMA7"),
+        D.rolling_mean(S.OCCUPANCY).alias("occupancyMA7"),
+        D.rolling_mean(S.ADMISSIONS, include_current=False).alias("admissionsMA7Prev"),
+    ))
+
+
+def forecast_table(spark, sf_dir):
+    """The 30-day forecast of the trained model, written once per session and table."""
+    key = (sf_dir, id(spark.sparkContext._jsc))
+    if key not in _FORECASTS:
+        daily, res = trained(spark, sf_dir)
+        _FORECASTS[key] = materialize(FC.forecast_recursive(res.model, daily, 30), "forecast")
+    return _FORECASTS[key]
+
+
+def q_forecast_summary(spark, sf_dir):
+    return rounded(_M.forecast_summary(forecast_table(spark, sf_dir)))
+
+
+def q_forecast_alerts(spark, sf_dir):
+    _, res = trained(spark, sf_dir)
+    return rounded(AL.alert_rows(forecast_table(spark, sf_dir), res.model.alert_rules()))
+
+
+def q_history_with_forecast(spark, sf_dir):  # noqa: F811  (reuses the written forecast)
+    daily, res = trained(spark, sf_dir)
+    return rounded(FC.history_with_forecast(res.model, daily, forecast_table(spark, sf_dir), 50))
+
+
+def q_forecast_recursive(spark, sf_dir):  # noqa: F811
+    return rounded(forecast_table(spark, sf_dir))
+
+
+QUERIES.update({
+    "lag_features": q_lag_features,
+    "rolling_mean": q_rolling_mean,
+    "forecast_summary": q_forecast_summary,
+    "forecast_alerts": q_forecast_alerts,
+    "history_with_forecast": q_history_with_forecast,
+    "forecast_recursive": q_forecast_recursive,
+})
