@@ -122,3 +122,14 @@ def test_default_missing_columns(spark):
 def test_tail_and_distinct_days(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, d), float(d)) for d in range(1, 11)], "date date, v double")
     assert sorted(r.v for r in D.tail_by_date(df, 3).collect()) == [8.0, 9.0, 10.0]
+
+
+def test_approximate_median_option(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 102)] + [(None,)], "x double")
+    exact = P.impute_median(df, ["x"]).where("x = 51.0").count()
+    approx = P.impute_median(df, ["x"], approx=True).where("x = 51.0").count()
+    assert exact == 2 and approx == 2
+    r = spark.createDataFrame([(float(i),) for i in range(1, 101)], "x double")
+    from daycast.operators import metrics as M
+    q = M.iqr_threshold(r, "x", approx=True).first()
+    assert abs(q.q25 - 25.75) <= 1 and abs(q.q75 - 75.25) <= 1
