@@ -508,3 +508,23 @@ QUERIES.update({
     "history_with_forecast": q_history_with_forecast,
     "forecast_recursive": q_forecast_recursive,
 })
+
+
+# -- multi-series daily steps ------------------------------------------------------------
+
+def events_daily(spark, sf_dir) -> DataFrame:
+    return D.aggregate_daily(P.enrich_visits(T.visits_from_events(spark, sf_dir)), EVENT_SERIES, impute=True)
+
+
+def q_aggregate_daily_events(spark, sf_dir):
+    return rounded(events_daily(spark, sf_dir))
+
+
+def q_densify_daily_events(spark, sf_dir):
+    return rounded(D.densify_daily(events_daily(spark, sf_dir), EVENT_SERIES))
+
+
+QUERIES.update({
+    "aggregate_daily_events": q_aggregate_daily_events,
+    "densify_daily_events": q_densify_daily_events,
+})

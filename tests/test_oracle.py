@@ -40,4 +40,4 @@ def test_entry_smoke(spark):
 def test_every_query_has_a_callable():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 50
+    assert len(q) >= 58
