@@ -528,3 +528,19 @@ QUERIES.update({
     "aggregate_daily_events": q_aggregate_daily_events,
     "densify_daily_events": q_densify_daily_events,
 })
+
+
+# -- many series at once (rows-only) ---------------------------------------------------------
+
+def q_forecast_events(spark, sf_dir):
+    """One model over every event type's daily series, then a 30-day forecast of all series
+    in the same horizon steps."""
+    key = ("events", sf_dir, id(spark.sparkContext._jsc))
+    if key not in _FORECASTS:
+        daily = J.prepare_model_input(events_features(spark, sf_dir)).persist()
+        res = J.train(daily, group_cols=EVENT_SERIES)
+        _FORECASTS[key] = materialize(FC.forecast_recursive(res.model, daily, 30, EVENT_SERIES), "forecast-events")
+    return rounded(_FORECASTS[key])
+
+
+QUERIES["forecast_events"] = q_forecast_events
