@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm import chat, exact_dedup
+from daycast.llm import chat, exact_dedup, secrets, warc
 from daycast.llm.common import table
 
 
@@ -86,5 +86,45 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-QUERIES = {"op6_exact_dedup": op6_exact_dedup, "op10_chat_format": op10_chat_format}
-ORACLE = {"op6_exact_dedup": OP6_SQL, "op10_chat_format": OP10_SQL}
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archive_round_trip(table(spark, sf_dir, "pages"), payloads=False)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT payload_digest, max(page_id) AS response FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN response IS NULL OR page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest)
+"""
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans are those of the three fixed kinds; ``spans`` has all."""
+    rows = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), to="found").drop("text")
+    text = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    listed = lambda x: F.concat_ws(",", F.transform(x, text))
+    base = F.filter("found", lambda s: s["kind"] != "random")
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select(
+        "doc_id",
+        *(count(k) for k in ("assign", "access", "hex")),
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("found")).alias("spans"),
+        count("random"),
+    )
+
+
+QUERIES = {
+    "op5_warc": op5_warc,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op8_secrets": op8_secrets,
+    "op10_chat_format": op10_chat_format,
+}
+ORACLE = {"op5_warc": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op10_chat_format": OP10_SQL}
