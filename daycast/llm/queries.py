@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm import chat, exact_dedup, secrets, warc
-from daycast.llm.common import table
+from daycast.llm import chat, exact_dedup, langid, secrets, warc
+from daycast.llm.common import crc_mod, table
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +87,14 @@ FROM e GROUP BY conv_id
 """
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = langid.learn(docs.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.identify(rows, model, score_to="score", spans_to=None).drop("text")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = warc.archive_round_trip(table(spark, sf_dir, "pages"), payloads=False)
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -122,6 +130,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_language_id": op4_language_id,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_secrets": op8_secrets,
