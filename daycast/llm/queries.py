@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm import chat, exact_dedup, langid, secrets, warc
+from daycast.llm import chat, exact_dedup, fingerprint, langid, packing, secrets, warc
 from daycast.llm.common import crc_mod, table
 
 
@@ -87,6 +87,15 @@ FROM e GROUP BY conv_id
 """
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return fingerprint.neighbour_prints(docs, fingerprint.lexicon(docs))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 4) == 2
@@ -130,6 +139,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_fingerprint": op2_fingerprint,
     "op4_language_id": op4_language_id,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
