@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import slices, utf8
+from daycast.llm.common import pieces_of, utf8
 
 OPEN, MID, CLOSE = "<s>[INST ", "]\n", "</s>\n"
 #: Escapes: after them a text holds none of ``<``, ``[``, ``]``.
@@ -135,7 +135,7 @@ def format_chats(conversations: DataFrame, batch_turns: int = BATCH_TURNS) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, batch_turns):
+            for piece in pieces_of(batch, batch_turns):
                 if piece.num_rows:
                     yield _format(piece)
 

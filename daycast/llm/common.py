@@ -31,7 +31,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+def pieces_of(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
     """Zero-copy pieces of at most ``rows`` rows, to bound the work arrays of one step."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm import chat, exact_dedup, fingerprint, langid, packing, secrets, warc
+from daycast.llm import chat, exact_dedup, fingerprint, langid, minhash, packing, secrets, warc
 from daycast.llm.common import crc_mod, table
 
 
@@ -96,6 +96,10 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbour_prints(docs, fingerprint.lexicon(docs))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 4) == 2
@@ -141,6 +145,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_fingerprint": op2_fingerprint,
+    "op3_minhash": op3_minhash,
     "op4_language_id": op4_language_id,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
