@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm import chat, exact_dedup, fingerprint, langid, minhash, packing, secrets, warc
+from daycast.llm import chat, exact_dedup, fingerprint, langid, lm, minhash, packing, secrets, warc
 from daycast.llm.common import crc_mod, table
 
 
@@ -126,6 +126,10 @@ FROM p LEFT JOIN g USING (payload_digest)
 """
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) == 1)
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans are those of the three fixed kinds; ``spans`` has all."""
     rows = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), to="found").drop("text")
@@ -149,6 +153,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_lm_score": op7_lm_score,
     "op8_secrets": op8_secrets,
     "op10_chat_format": op10_chat_format,
 }
