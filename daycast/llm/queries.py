@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm import chat, exact_dedup, fingerprint, langid, lm, minhash, packing, secrets, warc
+from daycast.llm import chat, exact_dedup, fingerprint, langid, lm, minhash, packing, pieces, secrets, warc
 from daycast.llm.common import crc_mod, table
 
 
@@ -27,6 +27,22 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
 """
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: units, pieces, and a checksum over all ids that depends on their order.
+
+    The checksum is the sum over pieces of (id + 1) * w modulo 2**32 with
+    w = (131 * unit + place in the unit + 1) * 2654435761 modulo 2**32.
+    """
+    texts, segments = pieces.encode(table(spark, sf_dir, "documents"), summary=True)
+    sums = segments.groupBy(F.col("row").alias("of")).agg(F.sum("pieces").alias("pieces"), F.sum("checksum").alias("checksum"))
+    return texts.join(sums, texts["row"] == sums["of"], "left").select(
+        "doc_id",
+        "n_units",
+        F.coalesce("pieces", F.lit(0)).alias("n_pieces"),
+        F.coalesce(F.col("checksum") % (1 << 32), F.lit(0)).alias("ids_checksum"),
+    )
+
+
 #: A conversation whose texts hold control strings.
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -155,6 +171,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_lm_score": op7_lm_score,
     "op8_secrets": op8_secrets,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_chat_format": op10_chat_format,
 }
 ORACLE = {"op5_warc": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op10_chat_format": OP10_SQL}
