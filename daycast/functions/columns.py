@@ -24,8 +24,9 @@ def duration_days(start, end) -> Column:
 
 
 def parse_percent(c) -> Column:
-    """Percent text such as ``75%`` to 75.0; junk becomes null."""
-    return F.rtrim(_c(c).cast("string"), F.lit("%")).try_cast("double")
+    """Percent text such as ``75%`` or ``75,5 %`` to a number; junk becomes null (``prepare.visit_quality`` counts it)."""
+    text = F.rtrim(F.trim(F.rtrim(F.trim(_c(c).cast("string")), F.lit("%"))))
+    return F.regexp_replace(text, r"^([+-]?\d*),(\d+)$", "$1.$2").try_cast("double")
 
 
 def equals_flag(c, value) -> Column:
@@ -33,9 +34,10 @@ def equals_flag(c, value) -> Column:
     return _c(c).eqNullSafe(F.lit(value)).cast("int")
 
 
-def parse_timestamp(c) -> Column:
-    """Text or timestamp to timestamp; unparseable values become null."""
-    return F.try_to_timestamp(_c(c).cast("string"))
+def parse_timestamp(c, formats=()) -> Column:
+    """Text or timestamp to timestamp: ISO text first, then ``formats`` in order; unparseable values become null."""
+    text = _c(c).cast("string")
+    return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
 def day_of_week(c) -> Column:
@@ -107,22 +109,15 @@ def clip_round(c, lo, hi, decimals: int = 1) -> Column:
     return round_half_even(clip(c, lo, hi), decimals)
 
 
-def calendar_factor(date) -> Column:
-    """Scenario multiplier: season (winter 1.3, summer 0.9) x weekday (weekend 0.8, Monday 1.1)."""
-    d = _c(date)
-    month = F.month(d)
-    dow = F.weekday(d)
-    season = (
-        F.when(month.isin(*S.WINTER_MONTHS), F.lit(S.WINTER_FACTOR))
-        .when(month.isin(*S.SUMMER_MONTHS), F.lit(S.SUMMER_FACTOR))
-        .otherwise(F.lit(1.0))
-    )
-    weekday = (
-        F.when(dow >= 5, F.lit(S.WEEKEND_FACTOR))
-        .when(dow == 0, F.lit(S.MONDAY_FACTOR))
-        .otherwise(F.lit(1.0))
-    )
-    return season * weekday
+def calendar_factor(date, month_factors: dict, weekday_factors: dict) -> Column:
+    """Product of a month's and a weekday's (Monday = 0) multiplier; 1 where none is given."""
+    out = F.lit(1.0)
+    for part, factors in ((F.month(_c(date)), month_factors), (F.weekday(_c(date)), weekday_factors)):
+        one = None
+        for key, value in factors.items():
+            one = F.when(part == key, F.lit(float(value))) if one is None else one.when(part == key, F.lit(float(value)))
+        out = out * (one.otherwise(F.lit(1.0)) if one is not None else F.lit(1.0))
+    return out
 
 
 def format_fixed(value, decimals: int = 1) -> Column:

@@ -7,13 +7,14 @@ its size is bounded by the calendar, never by the number of raw records.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daycast import schema as S
 from daycast.functions import columns as C
+from daycast.operators.keys import join_series
 from daycast.operators.prepare import column_medians, enrich_visits, require_columns
+from daycast.session import materialize
 
 V = S.VISIT_COLUMNS
 
@@ -33,15 +34,15 @@ def aggregate_daily(visits: DataFrame, group_cols=(), names: dict[str, str] | No
     totalAdmissions counts non-null patients; emergency and ICU flags are
     summed; occupancy, waiting time and stay are averaged. Calendar columns are
     recomputed from the day (they are constant per day). Visits without an
-    arrival day are dropped (see :func:`undated_visits`).
+    arrival day are in no row; ``prepare.visit_quality`` counts them.
 
     ``impute=True`` gives the daily means of the measures with missing values
-    replaced by the column median (E1's imputation) without a second pass
+    replaced by the series' median (E1's imputation) without a second pass
     over the visits when nothing is missing: the aggregate keeps per-day
     sums, counts and null counts, the medians are computed only for columns
     that have nulls, and each day's mean becomes (sum + nulls * median) /
-    (count + nulls). The aggregate (days x series rows) is then cached, since
-    every later step reads it.
+    (count + nulls). The aggregate (days x series rows) is written to the
+    shared folder once, since every later step reads it.
     """
     v = {**V, **(names or {})}
     require_columns(visits, [v["patient"], v["arrival"]], strict=True)
@@ -64,28 +65,31 @@ def aggregate_daily(visits: DataFrame, group_cols=(), names: dict[str, str] | No
         .agg(*aggs)
     )
     if impute and measures:
-        daily = daily.persist(StorageLevel.MEMORY_AND_DISK)
+        daily = materialize(daily, "daily")
         nulls = daily.agg(*[F.sum(f"_k_{out}").alias(out) for _, out in measures]).first()
         need = [src for src, out in measures if (nulls[out] or 0) > 0]
-        medians = column_medians(visits, need, approx) if need else {}
+        if need:
+            medians = column_medians(visits, need, approx, group_cols=group_cols)
+            named = medians.select(*group_cols, *[F.col(c).alias(f"_m_{c}") for c in need])
+            if group_cols:
+                daily = join_series(daily, named, group_cols)
+            else:
+                row = named.first()
+                daily = daily.withColumns({c: F.lit(row[c]).cast("double") for c in named.columns})
         means = {}
         for src, out in measures:
-            s_, c_, k_ = F.coalesce(F.col(f"_s_{out}"), F.lit(0.0)), F.col(f"_c_{out}"), F.col(f"_k_{out}")
-            m = medians.get(src)
-            if m is None:
-                means[out] = F.when(c_ > 0, s_ / c_.cast("double"))
+            s_, c_, k_ = F.coalesce(F.col(f"_s_{out}"), F.lit(0.0)), F.col(f"_c_{out}").cast("double"), F.col(f"_k_{out}").cast("double")
+            plain = F.when(c_ > 0, s_ / c_)
+            if src in need:
+                m = F.col(f"_m_{src}")
+                means[out] = F.when(m.isNotNull() & (c_ + k_ > 0), (s_ + k_ * m) / (c_ + k_)).otherwise(plain)
             else:
-                means[out] = F.when(c_ + k_ > 0, (s_ + k_.cast("double") * F.lit(float(m))) / (c_ + k_).cast("double"))
-        daily = daily.withColumns(means).drop(*[f"_{p}_{out}" for _, out in measures for p in "sck"])
+                means[out] = plain
+        daily = daily.withColumns(means).drop(*[f"_m_{c}" for c in need])
+        daily = daily.drop(*[f"_{p}_{out}" for _, out in measures for p in "sck"])
     return daily.withColumns(C.calendar_columns(S.DATE))
 
 
-def undated_visits(visits: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
-    """Visits whose arrival day is null (counted, not aggregated)."""
-    v = {**V, **(names or {})}
-    return visits.where(F.to_date(F.col(v["arrival"])).isNull())
-
-
 def day_spine(daily: DataFrame, group_cols=(), date_col: str = S.DATE) -> DataFrame:
     """Every day from the first to the last day of each series."""
     bounds = daily.groupBy(*group_cols).agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
@@ -105,10 +109,8 @@ def densify_daily(daily: DataFrame, group_cols=(), count_cols=S.COUNT_COLUMNS,
     """
     calendar = set(C.calendar_columns(date_col))
     measures = daily.drop(*[c for c in daily.columns if c in calendar])
-    dense = day_spine(daily, group_cols, date_col).join(measures, [*group_cols, date_col], "left")
-    counts = {c: F.coalesce(F.col(c), F.lit(0).cast(daily.schema[c].dataType))
-              for c in count_cols if c in dense.columns}
-    return dense.withColumns({**counts, **C.calendar_columns(date_col)})
+    dense = join_series(day_spine(daily, group_cols, date_col), measures, [*group_cols, date_col])
+    return fill_zero(dense, count_cols).withColumns(C.calendar_columns(date_col))
 
 
 def fill_zero(df: DataFrame, cols=S.COUNT_COLUMNS) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql.types import NumericType, StringType
 
 from daycast import schema as S
 from daycast.functions import columns as C
+from daycast.operators.keys import join_series
+from daycast.operators.quantiles import exact_quantiles, modes
 
 log = logging.getLogger(__name__)
 
@@ -65,59 +67,91 @@ IMPUTED_VISIT_COLUMNS = ("waitingHours", "stayDuration", "occupancyRate")
 
 
 def prepare_visits(df: DataFrame, names: dict[str, str] | None = None, impute: bool = True,
-                   approx: bool = False) -> DataFrame:
-    """Enrich visits and fill missing derived measures with their median.
+                   approx: bool = False, group_cols=()) -> DataFrame:
+    """Enrich visits and fill missing derived measures with their series' median.
 
     Ids and calendar parts are never imputed; only the derived measures are.
     """
     out = enrich_visits(df, names)
     if impute:
         cols = [c for c in IMPUTED_VISIT_COLUMNS if c in out.columns]
-        out = impute_median(out, cols, approx=approx)
+        out = impute_median(out, cols, approx=approx, group_cols=group_cols)
     return out
 
 
-def column_medians(df: DataFrame, cols, approx: bool = False, accuracy: int = 10_000) -> dict:
-    """Exact (linear interpolation) or approximate medians of ``cols`` in one pass."""
+def columns_with_nulls(df: DataFrame, cols) -> list[str]:
+    """Those of ``cols`` that hold a null (one pass)."""
     cols = list(cols)
     if not cols:
-        return {}
+        return []
+    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    return [c for c in cols if row[c]]
+
+
+def column_medians(df: DataFrame, cols, approx: bool = False, accuracy: int = 10_000, group_cols=()) -> DataFrame | None:
+    """Medians of ``cols`` per series, one row per series (``group_cols`` and one column each).
+
+    Exact medians interpolate linearly; ``approx=True`` takes the sketch's value.
+    """
+    g, cols = list(group_cols), list(cols)
+    if not cols:
+        return None
     if approx:
-        exprs = [F.percentile_approx(c, 0.5, accuracy).alias(c) for c in cols]
-    else:
-        exprs = [F.median(c).alias(c) for c in cols]
-    row = df.agg(*exprs).collect()[0]
-    return {c: row[c] for c in cols}
+        return df.groupBy(*g).agg(*[F.percentile_approx(c, 0.5, accuracy).cast("double").alias(c) for c in cols])
+    out = None
+    for c in cols:
+        one = exact_quantiles(df, c, [0.5], g, accuracy).select(*g, F.col("q")[0].alias(c))
+        if out is None:
+            out = one
+        elif g:
+            out = join_series(out, one, g)
+        else:
+            out = out.withColumn(c, F.lit(one.first()[c]).cast("double"))
+    return out
+
+
+def _filled(df: DataFrame, cols, fills: DataFrame, group_cols) -> DataFrame:
+    """Nulls of ``cols`` replaced by the series' values in ``fills``."""
+    g = list(group_cols)
+    if not g:
+        row = fills.first()
+        return df.withColumns({c: F.coalesce(F.col(c), F.lit(row[c]).cast(df.schema[c].dataType)) for c in cols if row[c] is not None})
+    named = fills.select(*g, *[F.col(c).alias(f"__fill_{c}") for c in cols])
+    out = join_series(df, named, g)
+    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"__fill_{c}").cast(df.schema[c].dataType)) for c in cols}).select(*df.columns)
 
 
-def impute_median(df: DataFrame, cols, approx: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """P10: nulls of numeric ``cols`` take the column median (one aggregation job).
+def impute_median(df: DataFrame, cols, approx: bool = False, accuracy: int = 10_000, group_cols=()) -> DataFrame:
+    """P10: nulls of numeric ``cols`` take the column's median of the same series.
 
-    The exact median keeps one counter per distinct value; use ``approx=True``
-    for raw columns with unbounded distinct values.
+    Columns without a null are left alone after one counting pass. A series
+    without any value keeps its nulls.
     """
-    medians = {c: float(m) for c, m in column_medians(df, cols, approx, accuracy).items() if m is not None}
-    if not medians:
+    need = columns_with_nulls(df, cols)
+    if not need:
         return df
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(m).cast(df.schema[c].dataType)) for c, m in medians.items()})
+    return _filled(df, need, column_medians(df, need, approx, accuracy, group_cols), group_cols)
 
 
-def impute_mode(df: DataFrame, cols) -> DataFrame:
-    """Nulls take the most frequent value; the smallest one on ties."""
-    cols = list(cols)
-    if not cols:
-        return df
-    row = df.agg(*[F.mode(c, True).alias(c) for c in cols]).collect()[0]
-    fills = {c: row[c] for c in cols if row[c] is not None}
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in fills.items()})
+def impute_mode(df: DataFrame, cols, group_cols=()) -> DataFrame:
+    """Nulls take the most frequent value of the same series; the smallest one on ties."""
+    out = df
+    for c in columns_with_nulls(df, cols):
+        fill = modes(df, c, group_cols).withColumnRenamed("mode", c)
+        if group_cols or fill.first() is not None:
+            out = _filled(out, [c], fill, group_cols)
+    return out
 
 
-def impute_by_type(df: DataFrame, exclude=(S.DATE,), approx: bool = False) -> DataFrame:
-    """Numeric columns -> median, other columns -> mode (E3's imputation)."""
-    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
-    other = [f.name for f in df.schema.fields
-             if isinstance(f.dataType, StringType) and f.name not in exclude]
-    return impute_mode(impute_median(df, numeric, approx=approx), other)
+def impute_by_type(df: DataFrame, exclude=(S.DATE,), approx: bool = False, group_cols=()) -> DataFrame:
+    """Numeric columns -> median, other columns -> mode (E3's imputation), per series.
+
+    Series keys, the date and the calendar columns are never imputed.
+    """
+    skip = {*exclude, *group_cols, *S.CALENDAR_COLUMNS, *S.FLAG_COLUMNS}
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in skip]
+    other = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name not in skip]
+    return impute_mode(impute_median(df, numeric, approx=approx, group_cols=group_cols), other, group_cols)
 
 
 def cast_int(df: DataFrame, cols=("month", "dayOfWeek")) -> DataFrame:
@@ -130,23 +164,30 @@ def default_missing_columns(df: DataFrame, features, mode: str = "entry") -> Dat
 
     ``mode='entry'`` (a single forecast row): calendar parts -> 1, ``is*`` -> 0,
     names containing ``occupancy`` -> 75, anything else -> 80.
-    ``mode='history'`` (a history table): absent targets -> 75 / 50, absent
-    features -> 0.
+    ``mode='history'`` (a history table): absent targets -> 75 / 50; calendar
+    parts and flags come from the date, where there is one; other absent
+    features -> 0. ``mode='lags'``: an absent lag copies its target, other
+    features are left alone.
     """
     new = {}
-    if mode == "history":
+    if mode == "lags":
+        for f in features:
+            target = S.LAG_TARGETS.get(f)
+            if f not in df.columns and target in df.columns:
+                new[f] = F.col(target)
+    elif mode == "history":
         if S.OCCUPANCY not in df.columns:
             new[S.OCCUPANCY] = F.lit(S.DEFAULT_HISTORY_OCCUPANCY)
         if S.ADMISSIONS not in df.columns:
             new[S.ADMISSIONS] = F.lit(S.DEFAULT_HISTORY_ADMISSIONS)
+        calendar = C.calendar_columns(S.DATE) if S.DATE in df.columns else {}
         for f in features:
             if f not in df.columns and f not in new:
-                new[f] = F.lit(0.0)
-        return df.withColumns(new) if new else df
-    for f in features:
-        if f in df.columns:
-            continue
-        new[f] = F.lit(entry_default(f))
+                new[f] = calendar.get(f, F.lit(0.0))
+    else:
+        for f in features:
+            if f not in df.columns:
+                new[f] = F.lit(entry_default(f))
     return df.withColumns(new) if new else df
 
 
@@ -155,11 +196,24 @@ def entry_default(feature: str) -> float:
         return float(S.DEFAULT_CALENDAR_VALUE)
     if feature.startswith("is"):
         return float(S.DEFAULT_FLAG_VALUE)
-    if "occupancy" in feature.lower():
+    if "occupancy" in feature:
         return S.DEFAULT_OCCUPANCY_VALUE
     return S.DEFAULT_OTHER_VALUE
 
 
+def visit_quality(visits: DataFrame, names: dict[str, str] | None = None, group_cols=()) -> DataFrame:
+    """Per series: visits, and how many have no arrival day (they are in no daily row) or a
+    waiting time or occupancy text without a number (they count as missing). One pass."""
+    v = {**S.VISIT_COLUMNS, **(names or {})}
+    junk = lambda source, parsed: F.count_if(F.col(source).isNotNull() & parsed.isNull())
+    aggs = [F.count(F.lit(1)).alias("visits"), F.count_if(F.to_date(F.col(v["arrival"])).isNull()).alias("undated")]
+    if v["waiting"] in visits.columns:
+        aggs.append(junk(v["waiting"], C.first_number(v["waiting"])).alias("junk_waiting"))
+    if v["occupancy"] in visits.columns:
+        aggs.append(junk(v["occupancy"], C.parse_percent(v["occupancy"])).alias("junk_occupancy"))
+    return visits.groupBy(*group_cols).agg(*aggs)
+
+
 def null_counts(df: DataFrame, cols=None) -> DataFrame:
     """A3: one row, one bigint per column: its number of nulls (one pass)."""
     cols = list(cols) if cols is not None else df.columns

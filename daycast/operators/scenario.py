@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daycast import schema as S
 from daycast.functions import columns as C
+from daycast.operators.keys import join_series
+from daycast.operators.metrics import attach_stats
 
 
 def zscore(df: DataFrame, col: str, k: float = 1.0, group_cols=(), out: str = "zscore") -> DataFrame:
-    """(x - mean) / sample std * k per series (whole-series window)."""
-    w = Window.partitionBy(*group_cols)
-    z = (F.col(col) - F.avg(col).over(w)) / F.stddev_samp(col).over(w) * F.lit(float(k))
-    return df.withColumn(out, z)
-
-
-def calendar_scale(df: DataFrame, col: str = S.ADMISSIONS, out: str = "scenarioAdmissions",
-                   date_col: str = S.DATE, decimals: int = 0) -> DataFrame:
-    """Value x calendar factor, rounded half-even."""
-    return df.withColumns({
-        "calendarFactor": C.calendar_factor(date_col),
-        out: C.round_half_even(F.col(col) * C.calendar_factor(date_col), decimals),
-    })
+    """(x - mean) / sample std * k per series.
+
+    A constant series has 0 everywhere, a series of one value null.
+    """
+    stats = df.groupBy(*group_cols).agg(F.avg(col).alias("_mean"), F.stddev_samp(col).alias("_sd"))
+    joined = attach_stats(df, stats, group_cols)
+    gap = F.col(col) - F.col("_mean")
+    z = F.when(F.col("_sd") == 0, gap * 0.0).otherwise(F.try_divide(gap, F.col("_sd")) * F.lit(float(k)))
+    return joined.withColumn(out, z).drop("_mean", "_sd")
+
+
+def calendar_scale(df: DataFrame, factor: Column, col: str = S.ADMISSIONS, out: str = "scenarioAdmissions",
+                   decimals: int = 0) -> DataFrame:
+    """Value x a caller's calendar ``factor``, rounded half-even."""
+    return df.withColumns({"calendarFactor": factor, out: C.round_half_even(F.col(col) * factor, decimals)})
 
 
 def peak_intervals(series: DataFrame, col: str, threshold, duration: int = 7, group_cols=(),
@@ -38,18 +42,17 @@ def peak_intervals(series: DataFrame, col: str, threshold, duration: int = 7, gr
     )
 
 
-def interval_uplift(series: DataFrame, intervals: DataFrame, group_cols=(), date_col: str = S.DATE,
-                    admissions: str = S.ADMISSIONS, occupancy: str = S.OCCUPANCY,
-                    adm_factor: float = S.PEAK_ADMISSIONS_FACTOR, occ_factor: float = S.PEAK_OCCUPANCY_FACTOR,
-                    occ_cap: float = S.OCCUPANCY_CAP) -> DataFrame:
-    """Days inside [start, start + duration) get the peak overlay, once per covering interval.
+def interval_uplift(series: DataFrame, intervals: DataFrame, adm_factor: float, occ_factor: float, occ_cap: float,
+                    group_cols=(), date_col: str = S.DATE, admissions: str = S.ADMISSIONS,
+                    occupancy: str = S.OCCUPANCY) -> DataFrame:
+    """Days inside [start, start + duration) get an overlay, once per covering interval.
 
-    admissions -> round(x * 1.5) and occupancy -> round(clip(x * 1.2, 0, 100), 1)
-    at every application. The factor is the same for every interval, so the
-    compounding depends only on the number k of intervals covering a day:
-    intervals are expanded to their days (at most ``duration`` rows each),
-    counted per (series, day) with partial aggregation, joined to the series,
-    and the overlay is folded k times.
+    Admissions are multiplied and rounded, occupancy is multiplied, clipped to
+    [0, ``occ_cap``] and rounded to one decimal, at every application. The factors are
+    the same for every interval, so the result depends only on the number k of
+    intervals covering a day: intervals are expanded to their days (at most
+    ``duration`` rows each), counted per (series, day) with partial aggregation,
+    joined to the series, and the overlay is folded k times.
     """
     g = list(group_cols)
     days = intervals.where(F.col("duration") >= 1).select(
@@ -58,7 +61,7 @@ def interval_uplift(series: DataFrame, intervals: DataFrame, group_cols=(), date
                              F.date_add(F.col("start").cast("date"), F.col("duration") - 1))).alias(date_col),
     )
     cover = days.groupBy(*g, date_col).agg(F.count(F.lit(1)).alias("peaks"))
-    out = series.join(cover, [*g, date_col], "left").withColumn("peaks", F.coalesce(F.col("peaks"), F.lit(0)))
+    out = join_series(series, cover, [*g, date_col]).withColumn("peaks", F.coalesce(F.col("peaks"), F.lit(0)))
     steps = F.sequence(F.lit(1), F.greatest(F.col("peaks"), F.lit(1)))
 
     def fold(col, fn):
@@ -71,11 +74,11 @@ def interval_uplift(series: DataFrame, intervals: DataFrame, group_cols=(), date
     })
 
 
-def scenario(series: DataFrame, intervals: DataFrame, group_cols=(), k: float = 3.0,
-             lo: float = 50.0, hi: float = 100.0) -> DataFrame:
+def scenario(series: DataFrame, intervals: DataFrame, factor: Column, adm_factor: float, occ_factor: float,
+             lo: float, hi: float, k: float, group_cols=()) -> DataFrame:
     """Calendar-scaled admissions, admission-correlated occupancy clipped to
-    [lo, hi] (1 decimal), then the peak overlay on both."""
-    s = calendar_scale(series)
+    [lo, hi] (1 decimal), then the interval overlay on both; all factors are the caller's."""
+    s = calendar_scale(series, factor)
     s = zscore(s, "scenarioAdmissions", k, group_cols, "_z")
     s = s.withColumn("scenarioOccupancy", C.clip_round(F.col(S.OCCUPANCY) + F.col("_z"), lo, hi, 1)).drop("_z")
-    return interval_uplift(s, intervals, group_cols, admissions="scenarioAdmissions", occupancy="scenarioOccupancy")
+    return interval_uplift(s, intervals, adm_factor, occ_factor, hi, group_cols, admissions="scenarioAdmissions", occupancy="scenarioOccupancy")

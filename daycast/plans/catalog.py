@@ -7,13 +7,19 @@ rounded to 6 decimals so that results can be compared by value hash.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from daycast import schema as S
+from daycast.functions import columns as C
 from daycast.operators import daily as D
 from daycast.operators import prepare as P
+from daycast.session import materialize, scratch_path
 from daycast.sources import tables as T
 
 ROUND = 6
@@ -120,11 +126,11 @@ def q_null_counts(spark, sf_dir):
 
 
 def q_date_bounds(spark, sf_dir):
-    return P.date_bounds(events_visits(spark, sf_dir), S.VISIT_COLUMNS["arrival"], EVENT_SERIES)
+    return P.date_bounds(T.visits_from_events(spark, sf_dir), S.VISIT_COLUMNS["arrival"], EVENT_SERIES)
 
 
 def q_distinct_days(spark, sf_dir):
-    return D.distinct_days(orders_visits(spark, sf_dir))
+    return D.distinct_days(T.visits_from_orders(spark, sf_dir))
 
 
 def q_tail_by_date(spark, sf_dir):
@@ -195,7 +201,7 @@ def q_time_series_folds(spark, sf_dir):
 
 def q_random_split(spark, sf_dir):
     out = SP.random_split(orders_features(spark, sf_dir), 0.2, 42)
-    return out.groupBy("split").agg(F.count(F.lit(1)).alias("days"))
+    return out.select(S.DATE, "split")
 
 
 # -- metrics on a naive lag-7 forecast (stand-in for model output) ------------
@@ -247,8 +253,18 @@ def q_zscore(spark, sf_dir):
     return rounded(out.select(S.DATE, "zscore"))
 
 
+# The overlay queries' own factors.
+MONTH_FACTORS = {12: 1.3, 1: 1.3, 2: 1.3, 6: 0.9, 7: 0.9, 8: 0.9}
+WEEKDAY_FACTORS = {0: 1.1, 5: 0.8, 6: 0.8}
+OVERLAY = {"adm_factor": 1.5, "occ_factor": 1.2}
+
+
+def overlay_calendar():
+    return C.calendar_factor(S.DATE, MONTH_FACTORS, WEEKDAY_FACTORS)
+
+
 def q_calendar_factor(spark, sf_dir):
-    out = SC.calendar_scale(orders_features(spark, sf_dir))
+    out = SC.calendar_scale(orders_features(spark, sf_dir), overlay_calendar())
     return rounded(out.select(S.DATE, "calendarFactor", "scenarioAdmissions"))
 
 
@@ -259,19 +275,19 @@ def peak_days(features: DataFrame, group_cols=()) -> DataFrame:
 
 def q_interval_uplift(spark, sf_dir):
     f = orders_features(spark, sf_dir)
-    out = SC.interval_uplift(f, peak_days(f))
+    out = SC.interval_uplift(f, peak_days(f), **OVERLAY, occ_cap=100.0)
     return rounded(out.select(S.DATE, "peaks", "totalAdmissionsPeak", "avgOccupancyRatePeak"))
 
 
 def q_interval_uplift_events(spark, sf_dir):
     f = events_features(spark, sf_dir)
-    out = SC.interval_uplift(f, peak_days(f, EVENT_SERIES), EVENT_SERIES)
+    out = SC.interval_uplift(f, peak_days(f, EVENT_SERIES), **OVERLAY, occ_cap=100.0, group_cols=EVENT_SERIES)
     return rounded(out.select(*EVENT_SERIES, S.DATE, "peaks", "totalAdmissionsPeak", "avgOccupancyRatePeak"))
 
 
 def q_scenario(spark, sf_dir):
     f = orders_features(spark, sf_dir)
-    out = SC.scenario(f, peak_days(f))
+    out = SC.scenario(f, peak_days(f), overlay_calendar(), **OVERLAY, lo=50.0, hi=100.0, k=3.0)
     return rounded(out.select(S.DATE, "scenarioAdmissions", "scenarioOccupancy", "peaks",
                               "scenarioAdmissionsPeak", "scenarioOccupancyPeak"))
 
@@ -357,11 +373,18 @@ from daycast.plans import tuning as TU  # noqa: E402
 _TRAINED: dict = {}
 
 
+def _key(spark, sf_dir, *more):
+    """One application and one version of the tables."""
+    files = [spark.read.format("binaryFile").load(f"{sf_dir}/{t}.parquet").agg(F.max("modificationTime"), F.sum("length")).first()
+             for t in ("orders", "lineitem", "events")]
+    return (spark.sparkContext.applicationId, sf_dir, str(files), *more)
+
+
 def trained(spark, sf_dir):
-    """E4 with the default models on the orders series, fitted once per session and table."""
-    key = (sf_dir, id(spark.sparkContext._jsc))
+    """E4 with the default models on the orders series, fitted once per application and table."""
+    key = _key(spark, sf_dir)
     if key not in _TRAINED:
-        daily = J.prepare_model_input(orders_features(spark, sf_dir)).persist()
+        daily = materialize(J.prepare_model_input(orders_features(spark, sf_dir)), "model-input")
         _TRAINED[key] = (daily, J.train(daily))
     return _TRAINED[key]
 
@@ -393,17 +416,19 @@ def q_validate(spark, sf_dir):
 
 
 def q_cross_validate(spark, sf_dir):
-    daily = J.prepare_model_input(orders_features(spark, sf_dir))
-    feats = J.default_features(daily)
-    _, mean = TU.cross_validate(daily, feats, 2, {"maxIter": 10}, {"numTrees": 10})
-    return rounded(mean)
+    """Both default models over five folds."""
+    daily = materialize(J.prepare_model_input(orders_features(spark, sf_dir)), "model-input")
+    per_fold, mean = TU.cross_validate(daily, J.default_features(daily), 5)
+    folds = per_fold.select("fold").distinct().count()
+    return rounded(mean.withColumn("folds", F.lit(folds).cast("long")))
 
 
 def q_grid_search(spark, sf_dir):
-    daily = J.prepare_model_input(orders_features(spark, sf_dir))
+    """The whole grid of both models over five folds: one row per candidate and fold."""
+    daily = materialize(J.prepare_model_input(orders_features(spark, sf_dir)), "model-input")
     feats = J.default_features(daily)
-    _, results = TU.grid_search(daily, feats, "admissions", {"maxIter": [5, 10], "maxDepth": [3, 4]}, 2)
-    return rounded(results)
+    results = [TU.grid_search(daily, feats, target, None, 5)[1] for target in ("admissions", "occupancy")]
+    return rounded(results[0].unionByName(results[1]))
 
 
 QUERIES.update({
@@ -422,7 +447,7 @@ from daycast.streaming import daily_updates as SU  # noqa: E402
 
 
 def q_daily_updates_events(spark, sf_dir):
-    """The events table read as a file stream; closed days of each event type."""
+    """The events table read as a file stream; all days of each event type."""
     schema = T.load(spark, sf_dir, "events").schema
 
     def to_visits(raw):
@@ -433,7 +458,7 @@ def q_daily_updates_events(spark, sf_dir):
             F.concat(F.col("value").cast("string"), F.lit("%")).alias(S.VISIT_COLUMNS["occupancy"]),
         )
 
-    return rounded(SU.run_daily_updates(spark, sf_dir, schema, "parquet", EVENT_SERIES, "2 days", to_visits,
+    return rounded(SU.run_daily_updates(spark, sf_dir, schema, "parquet", EVENT_SERIES, to_visits,
                                         glob="events.parquet"))
 
 
@@ -441,8 +466,6 @@ QUERIES["daily_updates_events"] = q_daily_updates_events
 
 
 # -- single window operators and forecast summary -------------------------------------
-from daycast.operators import metrics as _M  # noqa: E402
-from daycast.session import materialize  # noqa: E402
 
 _FORECASTS: dict = {}
 
@@ -474,8 +497,8 @@ def q_rolling_mean(spark, sf_dir):
 
 
 def forecast_table(spark, sf_dir):
-    """The 30-day forecast of the trained model, written once per session and table."""
-    key = (sf_dir, id(spark.sparkContext._jsc))
+    """The 30-day forecast of the trained model, written once per application and table."""
+    key = _key(spark, sf_dir)
     if key not in _FORECASTS:
         daily, res = trained(spark, sf_dir)
         _FORECASTS[key] = materialize(FC.forecast_recursive(res.model, daily, 30), "forecast")
@@ -483,12 +506,12 @@ def forecast_table(spark, sf_dir):
 
 
 def q_forecast_summary(spark, sf_dir):
-    return rounded(_M.forecast_summary(forecast_table(spark, sf_dir)))
+    return rounded(M.forecast_summary(forecast_table(spark, sf_dir)))
 
 
 def q_forecast_alerts(spark, sf_dir):
     _, res = trained(spark, sf_dir)
-    return rounded(AL.alert_rows(forecast_table(spark, sf_dir), res.model.alert_rules()))
+    return rounded(res.model.alerts(forecast_table(spark, sf_dir)))
 
 
 def q_history_with_forecast(spark, sf_dir):
@@ -535,12 +558,227 @@ QUERIES.update({
 def q_forecast_events(spark, sf_dir):
     """One model over every event type's daily series, then a 30-day forecast of all series
     in the same horizon steps."""
-    key = ("events", sf_dir, id(spark.sparkContext._jsc))
+    key = _key(spark, sf_dir, "events")
     if key not in _FORECASTS:
-        daily = J.prepare_model_input(events_features(spark, sf_dir)).persist()
+        daily = materialize(J.prepare_model_input(events_features(spark, sf_dir), group_cols=EVENT_SERIES), "model-input")
         res = J.train(daily, group_cols=EVENT_SERIES)
         _FORECASTS[key] = materialize(FC.forecast_recursive(res.model, daily, 30, EVENT_SERIES), "forecast-events")
     return rounded(_FORECASTS[key])
 
 
 QUERIES["forecast_events"] = q_forecast_events
+
+
+# -- series with missing values and a null key ---------------------------------------------
+
+def gappy_events(spark, sf_dir) -> DataFrame:
+    """The events with some values missing, some undated, some with junk text, and one event type
+    turned into a null key -- all by rule, so that SQL can follow."""
+    v = S.VISIT_COLUMNS
+    e = T.visits_from_events(spark, sf_dir)
+    n = F.col(v["patient"])
+    return e.select(
+        F.when(F.col("event_type") != "view", F.col("event_type")).alias("event_type"),
+        n.alias(v["patient"]),
+        F.when(n % 97 != 0, F.col(v["arrival"])).alias(v["arrival"]),
+        F.when(n % 5 == 0, F.lit(None)).when(n % 11 == 0, F.lit("n/a")).otherwise(F.col(v["occupancy"])).alias(v["occupancy"]),
+        F.concat((n % 4).cast("string"), F.when(n % 13 == 0, F.lit(" ?")).otherwise(F.lit(" h"))).alias(v["waiting"]),
+    )
+
+
+def gappy_daily(spark, sf_dir) -> DataFrame:
+    return D.aggregate_daily(P.enrich_visits(gappy_events(spark, sf_dir)), EVENT_SERIES, impute=True)
+
+
+def q_visit_quality(spark, sf_dir):
+    return P.visit_quality(gappy_events(spark, sf_dir), group_cols=EVENT_SERIES)
+
+
+def q_aggregate_daily_gappy(spark, sf_dir):
+    return rounded(gappy_daily(spark, sf_dir))
+
+
+def q_impute_median_events(spark, sf_dir):
+    """Raw visits, medians per event type, the null one included."""
+    v = S.VISIT_COLUMNS
+    out = P.prepare_visits(gappy_events(spark, sf_dir), group_cols=EVENT_SERIES)
+    return rounded(out.select(*EVENT_SERIES, F.col(v["patient"]).alias("Patient"), "occupancyRate", "waitingHours"))
+
+
+def q_impute_mode_events(spark, sf_dir):
+    v = S.VISIT_COLUMNS
+    e = P.enrich_visits(gappy_events(spark, sf_dir))
+    e = e.withColumn("waitingHours", F.when(F.col(v["patient"]) % 7 != 0, F.col("waitingHours")))
+    out = P.impute_mode(e, ["waitingHours"], EVENT_SERIES)
+    return rounded(out.select(*EVENT_SERIES, F.col(v["patient"]).alias("Patient"), "waitingHours"))
+
+
+def sparse_daily(spark, sf_dir) -> DataFrame:
+    """Daily rows of the gappy events without every fourth day of the month."""
+    return gappy_daily(spark, sf_dir).where(F.col("dayOfMonth") % 4 != 0)
+
+
+def q_densify_daily_gappy(spark, sf_dir):
+    return rounded(D.densify_daily(sparse_daily(spark, sf_dir), EVENT_SERIES))
+
+
+def q_iqr_threshold_events(spark, sf_dir):
+    return rounded(M.iqr_threshold(gappy_daily(spark, sf_dir), S.ADMISSIONS, group_cols=EVENT_SERIES))
+
+
+def q_split_by_date_events(spark, sf_dir):
+    """One date cuts all series."""
+    out = SP.split_by_time(sparse_daily(spark, sf_dir), 0.2, EVENT_SERIES, common=True)
+    return out.select(*EVENT_SERIES, S.DATE, "split")
+
+
+def q_folds_by_date_events(spark, sf_dir):
+    out = SP.time_series_folds(sparse_daily(spark, sf_dir), 5, EVENT_SERIES, common=True)
+    return out.select(*EVENT_SERIES, S.DATE, "test_fold")
+
+
+def q_zscore_constant(spark, sf_dir):
+    """A constant series has no deviation."""
+    out = SC.zscore(orders_features(spark, sf_dir).withColumn("one", F.lit(1.0)), "one", 3.0)
+    return out.select(S.DATE, "zscore")
+
+
+def q_fill_zero(spark, sf_dir):
+    """W6 on counts emptied by rule."""
+    f = events_features(spark, sf_dir).select(*EVENT_SERIES, S.DATE, F.when(F.col("dayOfMonth") % 3 != 0, F.col(S.ADMISSIONS)).alias(S.ADMISSIONS))
+    return D.fill_zero(f)
+
+
+def q_sort_by_date(spark, sf_dir):
+    return rounded(D.sort_by_date(events_features(spark, sf_dir).select(*EVENT_SERIES, S.DATE, S.ADMISSIONS), EVENT_SERIES))
+
+
+def q_select_features(spark, sf_dir):
+    """The feature columns, summed so that each is read."""
+    f = events_features(spark, sf_dir)
+    names = P.select_features(f, group_cols=EVENT_SERIES)
+    total = f.agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in names])
+    return rounded(total.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.round(F.col(c), 3).alias("total")) for c in names]))))
+
+
+def q_cast_int(spark, sf_dir):
+    f = orders_features(spark, sf_dir)
+    text = f.select(S.DATE, F.col("month").cast("string").alias("month"), F.col("dayOfWeek").cast("string").alias("dayOfWeek"))
+    return P.cast_int(text)
+
+
+QUERIES.update({
+    "visit_quality": q_visit_quality,
+    "aggregate_daily_gappy": q_aggregate_daily_gappy,
+    "impute_median_events": q_impute_median_events,
+    "impute_mode_events": q_impute_mode_events,
+    "densify_daily_gappy": q_densify_daily_gappy,
+    "iqr_threshold_events": q_iqr_threshold_events,
+    "split_by_date_events": q_split_by_date_events,
+    "folds_by_date_events": q_folds_by_date_events,
+    "zscore_constant": q_zscore_constant,
+    "fill_zero": q_fill_zero,
+    "sort_by_date": q_sort_by_date,
+    "select_features": q_select_features,
+    "cast_int": q_cast_int,
+})
+
+
+# -- files ------------------------------------------------------------------------------------
+
+def q_csv_round_trip(spark, sf_dir):
+    """A daily table written as a CSV folder of parts, found as the newest table, all parts read back."""
+    folder = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    daily = events_features(spark, sf_dir).select(*EVENT_SERIES, S.DATE, S.ADMISSIONS)
+    R.write_table(daily.repartition(4, S.DATE), folder, "daily", "csv")
+    back = R.read_latest(spark, folder, "event_type string, date string, totalAdmissions double")
+    return back.withColumn(S.DATE, F.to_date(S.DATE))
+
+
+def q_json_result(spark, sf_dir):
+    """Threshold rows written as JSON lines and read by extension."""
+    folder = scratch_path(spark, f"json-{uuid.uuid4().hex}")
+    thr = rounded(M.iqr_threshold(events_features(spark, sf_dir), S.ADMISSIONS, group_cols=EVENT_SERIES))
+    path = R.write_json_result(thr, folder, "thresholds.json")
+    return R.read_by_extension(spark, path, "event_type string, q25 double, q75 double, threshold double")
+
+
+def q_coerce_dates(spark, sf_dir):
+    """Day-first and ISO text in a column named like a date."""
+    v = S.VISIT_COLUMNS["arrival"]
+    e = T.load(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "dd/MM/yyyy")).when(F.col("event_id") % 3 == 1, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.lit("unknown"))
+    out = R.coerce_date_columns(e.select("event_id", text.alias(v)))
+    return out.select("event_id", F.to_date(F.col(v)).alias("day"))
+
+
+QUERIES.update({"csv_round_trip": q_csv_round_trip, "json_result": q_json_result, "coerce_dates": q_coerce_dates})
+
+
+# -- the forecasting rules on a fixed linear model ------------------------------------------------
+
+def linear_model(threshold: float = 20.0, occupancy_threshold: float = 49.0) -> MD.ForecastModel:
+    """Both targets from lag 1, lag 7 and the mean of the last days: a model SQL can follow."""
+    def stage(prefix, out):
+        return SQLTransformer(statement=f"SELECT *, 0.5D * {prefix}Lag1 + 0.2D * {prefix}Lag7 + 0.25D * {prefix}MA7Prev + 0.1D * dayOfWeek AS {out} FROM __THIS__")
+
+    adm = PipelineModel(stages=[stage("admissions", MD.PRED_ADM)])
+    occ = PipelineModel(stages=[stage("occupancy", MD.PRED_OCC)])
+    names = [f"{t}{k}" for t in ("admissions", "occupancy") for k in ("Lag1", "Lag7", "MA7Prev")] + ["dayOfWeek"]
+    return MD.ForecastModel(adm, occ, names, threshold, occupancy_threshold)
+
+
+def linear_forecast(spark, sf_dir) -> DataFrame:
+    return FC.forecast_recursive(linear_model(), events_features(spark, sf_dir), 10, EVENT_SERIES)
+
+
+def q_forecast_linear(spark, sf_dir):
+    out = linear_forecast(spark, sf_dir)
+    return rounded(out.select(*EVENT_SERIES, S.DATE, "admissionsLag1", "admissionsLag3", "admissionsLag7", "admissionsMA7",
+                              "occupancyLag1", "occupancyMA7", MD.PRED_ADM, MD.PRED_OCC, "admission_alert", "occupancy_alert"))
+
+
+def q_forecast_summary_linear(spark, sf_dir):
+    return rounded(M.forecast_summary(linear_forecast(spark, sf_dir), EVENT_SERIES))
+
+
+def q_forecast_alerts_linear(spark, sf_dir):
+    return rounded(linear_model().alerts(linear_forecast(spark, sf_dir), EVENT_SERIES))
+
+
+def q_history_with_forecast_linear(spark, sf_dir):
+    f = events_features(spark, sf_dir)
+    out = FC.history_with_forecast(linear_model(), f, FC.forecast_recursive(linear_model(), f, 10, EVENT_SERIES), 12, EVENT_SERIES)
+    return rounded(out)
+
+
+def q_evaluate_linear(spark, sf_dir):
+    return rounded(MD.evaluate_model(linear_model(), events_features(spark, sf_dir), EVENT_SERIES))
+
+
+def q_validate_linear(spark, sf_dir):
+    """E6 on the fixed model: metrics of the held-out days."""
+    return rounded(J.validate(linear_model(), events_features(spark, sf_dir), 0.2, EVENT_SERIES)["metrics"])
+
+
+def q_predict_linear(spark, sf_dir):
+    out = MD.predict(linear_model(), orders_features(spark, sf_dir))
+    return rounded(out.select(S.DATE, MD.PRED_ADM, MD.PRED_OCC, "admission_alert", "occupancy_alert"))
+
+
+def q_fold_metrics_naive(spark, sf_dir):
+    """The lag-7 forecast scored per fold, then averaged."""
+    folds = SP.time_series_folds(orders_features(spark, sf_dir), 5).where("test_fold >= 0")
+    return rounded(M.fold_metrics_mean(M.regression_metrics(folds, NAIVE_PAIRS, ["test_fold"])))
+
+
+QUERIES.update({
+    "forecast_linear": q_forecast_linear,
+    "forecast_summary_linear": q_forecast_summary_linear,
+    "forecast_alerts_linear": q_forecast_alerts_linear,
+    "history_with_forecast_linear": q_history_with_forecast_linear,
+    "evaluate_linear": q_evaluate_linear,
+    "validate_linear": q_validate_linear,
+    "predict_linear": q_predict_linear,
+    "fold_metrics_naive": q_fold_metrics_naive,
+})

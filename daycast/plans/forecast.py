@@ -5,20 +5,19 @@ each target and the predictions made so far (array columns). Each horizon
 step derives that day's features from the state with array expressions,
 scores every series at once with both fitted pipelines, and appends the
 predictions. The driver only loops over horizon steps; every step is a
-distributed job, and the state is checkpointed into the shared checkpoint
-folder every few steps so the plan does not grow with the horizon.
+distributed scan, and the state is written into the shared checkpoint folder
+every few steps so the plan does not grow with the horizon.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daycast import schema as S
 from daycast.functions import columns as C
-from daycast.operators import alerts as AL
 from daycast.operators.daily import series_window, tail_by_date
 from daycast.operators.prepare import entry_default
 from daycast.plans.models import PRED_ADM, PRED_OCC, ForecastModel, predict
@@ -135,7 +134,7 @@ def forecast_recursive(model: ForecastModel, history: DataFrame, days: int = 30,
     # Both fitted pipelines as one model: one transform (one plan analysis) per step.
     scorer = PipelineModel(stages=list(model.admission_model.stages) + list(model.occupancy_model.stages))
     state = materialize(state, "forecast-seed")
-    cached = None
+    held: list[DataFrame] = []
     for step in range(1, int(days) + 1):
         a = _step_lags(F.col("y_adm"), F.col("p_adm"), step, lag_mode)
         o = _step_lags(F.col("y_occ"), F.col("p_occ"), step, lag_mode)
@@ -157,18 +156,16 @@ def forecast_recursive(model: ForecastModel, history: DataFrame, days: int = 30,
             F.concat("p_occ", F.array(F.col(PRED_OCC))).alias("p_occ"),
             F.concat("steps", F.array(entry)).alias("steps"),
         ).select(*state_cols)
-        if step == days:
-            break
-        if checkpoint_every and step % checkpoint_every == 0:
+        # Steps between two written states are cached without a job of their own: the cache keeps
+        # the planner from merging them into one ever larger expression.
+        if step == days or (checkpoint_every and step % checkpoint_every == 0):
             state = materialize(state, "forecast-state")
+            while held:
+                held.pop().unpersist()
         else:
             state = state.persist(StorageLevel.MEMORY_AND_DISK)
-            state.count()
-        if cached is not None:
-            cached.unpersist()
-        cached = state if not (checkpoint_every and step % checkpoint_every == 0) else None
-    out = state.select(*g, F.inline("steps"))
-    return AL.flag_alerts(out, model.alert_rules())
+            held.append(state)
+    return model.flagged(state.select(*g, F.inline("steps")))
 
 
 def _field_type(name: str) -> str:
@@ -191,17 +188,12 @@ def history_with_forecast(model: ForecastModel, history: DataFrame, forecast: Da
     fut = forecast.drop(PRED_ADM, PRED_OCC, "admission_alert", "occupancy_alert").withColumn("future", F.lit(True))
     fut = fut.withColumns({"admissionsMA7Prev": F.col("admissionsMA7"), "occupancyMA7Prev": F.col("occupancyMA7")})
     both = tail.unionByName(fut, allowMissingColumns=True)
-    missing = {f: F.lit(entry_default(f)) for f in model.feature_names if f not in both.columns}
-    both = both.withColumns(missing) if missing else both
-    filled = both.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(entry_default(f)))
-                               for f in model.feature_names})
+    # A future day takes the defaults for what it lacks; a null in the real history stays an error.
+    lacking = [f for f in model.feature_names if f not in fut.columns]
+    filled = both.withColumns({
+        f: F.when(F.col("future"), F.lit(entry_default(f))).otherwise(F.col(f).cast("double") if f in both.columns else F.lit(entry_default(f)))
+        for f in lacking})
     scored = predict(model, filled)
     keep = [*group_cols, date_col, "future", S.ADMISSIONS, S.OCCUPANCY, PRED_ADM, PRED_OCC,
             "admission_alert", "occupancy_alert"]
     return scored.select(*[c for c in keep if c in scored.columns])
-
-
-def last_history_window(history: DataFrame, group_cols=(), date_col: str = S.DATE):
-    """Rows of the last seven days per series (the data the seed reads)."""
-    w = Window.partitionBy(*group_cols).orderBy(F.col(date_col).desc())
-    return history.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= HISTORY_DAYS).drop("_rn")

@@ -22,14 +22,20 @@ from pyspark.sql import types as T
 from daycast import schema as S
 from daycast.operators import alerts as AL
 from daycast.operators import metrics as M
+from daycast.operators.keys import join_series
 
-ADMISSION_PARAMS = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 4, "seed": 42}
-OCCUPANCY_PARAMS = {"numTrees": 100, "maxDepth": None, "min_samples_split": 2, "seed": 42}
-# Spark refuses trees deeper than 30; "unlimited" depth maps to that cap.
+# maxBins: candidate split points per feature; daily features rarely have more distinct values.
+ADMISSION_PARAMS = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 4, "maxBins": 256, "seed": 42}
+OCCUPANCY_PARAMS = {"numTrees": 100, "maxDepth": None, "min_samples_split": 2, "maxBins": 256, "seed": 42}
+# Spark's deepest tree: what maxDepth=None ("unlimited") means. A larger explicit depth is an error.
 MAX_TREE_DEPTH = 30
+# A fit uses at most about so many rows: beyond that, a share picked by hash. It bounds the
+# trees, which grow with the rows and are sent to every executor. None: all rows.
+MAX_FIT_ROWS = 1_000_000
 
 PRED_ADM = "predicted_admissions"
 PRED_OCC = "predicted_occupancy"
+THRESHOLD = "_admission_threshold"
 
 
 def scaled_pipeline(features, regressor, prefix: str) -> Pipeline:
@@ -43,11 +49,29 @@ def scaled_pipeline(features, regressor, prefix: str) -> Pipeline:
     ])
 
 
+def _depth(depth) -> int:
+    if depth is None:
+        return MAX_TREE_DEPTH
+    if int(depth) > MAX_TREE_DEPTH:
+        raise ValueError(f"maxDepth {depth}: Spark's trees have at most {MAX_TREE_DEPTH} levels")
+    return int(depth)
+
+
+def fit_rows(df: DataFrame, limit: int | None = MAX_FIT_ROWS) -> DataFrame:
+    """All rows, or beyond ``limit`` of them a share picked by a hash of the row's values."""
+    n = df.count() if limit else 0
+    if not limit or n <= limit:
+        return df
+    cells = 1 << 30
+    return df.where(F.pmod(F.xxhash64(*df.columns), F.lit(cells)) < F.lit(int(cells * (limit / n))))
+
+
 def admissions_regressor(label: str = S.ADMISSIONS, prediction: str = PRED_ADM, **params) -> GBTRegressor:
     """M2's estimator: boosted trees (100 rounds, rate 0.1, depth 4, seed 42 by default)."""
     p = {**ADMISSION_PARAMS, **params}
     return GBTRegressor(labelCol=label, predictionCol=prediction, maxIter=int(p["maxIter"]),
-                        stepSize=float(p["stepSize"]), maxDepth=int(p["maxDepth"]), seed=int(p["seed"]))
+                        stepSize=float(p["stepSize"]), maxDepth=_depth(p["maxDepth"]), maxBins=int(p["maxBins"]),
+                        seed=int(p["seed"]))
 
 
 def occupancy_regressor(label: str = S.OCCUPANCY, prediction: str = PRED_OCC, **params) -> RandomForestRegressor:
@@ -58,34 +82,41 @@ def occupancy_regressor(label: str = S.OCCUPANCY, prediction: str = PRED_OCC, **
     of m rows keeps at least m // 2 of them).
     """
     p = {**OCCUPANCY_PARAMS, **params}
-    depth = MAX_TREE_DEPTH if p["maxDepth"] is None else min(int(p["maxDepth"]), MAX_TREE_DEPTH)
     # cacheNodeIds / maxMemoryInMB only change how deep trees are grown
     # (fewer passes over the data), not the fitted trees.
     return RandomForestRegressor(labelCol=label, predictionCol=prediction, numTrees=int(p["numTrees"]),
-                                 maxDepth=depth, featureSubsetStrategy="all",
+                                 maxDepth=_depth(p["maxDepth"]), maxBins=int(p["maxBins"]), featureSubsetStrategy="all",
                                  minInstancesPerNode=max(1, int(p["min_samples_split"]) // 2),
                                  seed=int(p["seed"]), cacheNodeIds=True, maxMemoryInMB=1024)
 
 
 def fit_admissions(df: DataFrame, features, label: str = S.ADMISSIONS, **params) -> PipelineModel:
-    """M2."""
-    return scaled_pipeline(features, admissions_regressor(label, **params), "adm").fit(df)
+    """M2. ``max_fit_rows`` bounds the rows used (see :func:`fit_rows`)."""
+    limit = params.pop("max_fit_rows", MAX_FIT_ROWS)
+    return scaled_pipeline(features, admissions_regressor(label, **params), "adm").fit(fit_rows(df, limit))
 
 
 def fit_occupancy(df: DataFrame, features, label: str = S.OCCUPANCY, **params) -> PipelineModel:
-    """M3."""
-    return scaled_pipeline(features, occupancy_regressor(label, **params), "occ").fit(df)
+    """M3. ``max_fit_rows`` bounds the rows used, ``min_samples_split`` the leaves' least size."""
+    limit = params.pop("max_fit_rows", MAX_FIT_ROWS)
+    return scaled_pipeline(features, occupancy_regressor(label, **params), "occ").fit(fit_rows(df, limit))
 
 
 @dataclass
 class ForecastModel:
-    """Both fitted pipelines plus what forecasting and alerting need."""
+    """Both fitted pipelines plus what forecasting and alerting need.
+
+    A model of many series has a table of admission thresholds: ``series_cols``
+    and ``threshold``; ``admission_threshold`` holds for series not in it (None: no alert).
+    """
 
     admission_model: PipelineModel
     occupancy_model: PipelineModel
     feature_names: list[str]
-    admission_threshold: float
+    admission_threshold: float | None
     occupancy_threshold: float = S.OCCUPANCY_THRESHOLD
+    series_thresholds: DataFrame | None = None
+    series_cols: tuple[str, ...] = ()
     metrics: dict = field(default_factory=dict)
     timestamp: str = field(default_factory=lambda: _dt.datetime.now().isoformat())
     model_version: str = "1.0"
@@ -98,7 +129,24 @@ class ForecastModel:
         return out
 
     def alert_rules(self) -> list[AL.AlertRule]:
-        return AL.default_rules(self.admission_threshold, self.occupancy_threshold)
+        """Rules for rows of :meth:`with_thresholds`."""
+        return AL.default_rules(THRESHOLD if self.series_thresholds is not None else self.admission_threshold, self.occupancy_threshold)
+
+    def with_thresholds(self, df: DataFrame) -> DataFrame:
+        """``df`` with its series' admission threshold, where the model has one per series."""
+        if self.series_thresholds is None:
+            return df
+        table = self.series_thresholds.select(*self.series_cols, F.col("threshold").alias(THRESHOLD))
+        joined = join_series(df.drop(THRESHOLD), table, self.series_cols)
+        return joined.withColumn(THRESHOLD, F.coalesce(F.col(THRESHOLD), F.lit(self.admission_threshold).cast("double")))
+
+    def flagged(self, df: DataFrame) -> DataFrame:
+        """P16 with this model's thresholds."""
+        return AL.flag_alerts(self.with_thresholds(df), self.alert_rules()).drop(THRESHOLD)
+
+    def alerts(self, df: DataFrame, group_cols=()) -> DataFrame:
+        """P17 with this model's thresholds."""
+        return AL.alert_rows(self.with_thresholds(df), self.alert_rules(), group_cols=group_cols)
 
 
 def feature_importances(model: ForecastModel, spark: SparkSession) -> DataFrame:
@@ -122,7 +170,7 @@ def predict(model: ForecastModel | None, df: DataFrame) -> DataFrame:
     if model is None or model.admission_model is None or model.occupancy_model is None:
         raise ValueError("the models must be fitted before predicting")
     out = model.occupancy_model.transform(model.admission_model.transform(df))
-    return AL.flag_alerts(_drop_internal(out), model.alert_rules())
+    return model.flagged(_drop_internal(out))
 
 
 def prediction_pairs(adm: str = S.ADMISSIONS, occ: str = S.OCCUPANCY) -> dict:
@@ -154,6 +202,7 @@ META_SCHEMA = T.StructType([
     T.StructField("metrics", T.StringType()),
     T.StructField("timestamp", T.StringType()),
     T.StructField("model_version", T.StringType()),
+    T.StructField("series_cols", T.ArrayType(T.StringType())),
 ])
 
 
@@ -163,6 +212,7 @@ def _paths(directory: str, prefix: str) -> dict[str, str]:
         "admission_model": base + "_admission_model",
         "occupancy_model": base + "_occupancy_model",
         "metadata": base + "_metadata",
+        "thresholds": base + "_thresholds",
     }
 
 
@@ -174,23 +224,30 @@ def save_model(model: ForecastModel, spark: SparkSession, directory: str, prefix
     model.occupancy_model.write().overwrite().save(paths["occupancy_model"])
     imp = model.importances()
     row = (prefix, list(model.feature_names), imp["admissions"], imp["occupancy"],
-           float(model.admission_threshold), float(model.occupancy_threshold),
-           json.dumps(model.metrics), model.timestamp, model.model_version)
+           model.admission_threshold, float(model.occupancy_threshold),
+           json.dumps(model.metrics), model.timestamp, model.model_version, list(model.series_cols))
+    if model.series_thresholds is not None:
+        model.series_thresholds.write.mode("overwrite").parquet(paths["thresholds"])
+    else:
+        paths.pop("thresholds")
     spark.createDataFrame([row], META_SCHEMA).coalesce(1).write.mode("overwrite").json(paths["metadata"])
     return paths
 
 
 def load_model(spark: SparkSession, admission_path: str, occupancy_path: str,
-               metadata_path: str | None = None) -> ForecastModel:
-    """Load both pipelines and (when given) their metadata."""
+               metadata_path: str | None = None, admission_threshold: float | None = None) -> ForecastModel:
+    """Load both pipelines and their metadata; without metadata a threshold is required."""
+    if metadata_path is None and admission_threshold is None:
+        raise ValueError("a model without metadata needs an admission_threshold")
     adm = PipelineModel.load(admission_path)
     occ = PipelineModel.load(occupancy_path)
     if metadata_path is None:
-        feats = adm.stages[0].getInputCols()
-        return ForecastModel(adm, occ, list(feats), float("inf"))
+        return ForecastModel(adm, occ, list(adm.stages[0].getInputCols()), float(admission_threshold))
     r = spark.read.schema(META_SCHEMA).json(metadata_path).first()
+    series = tuple(r["series_cols"] or ())
+    table = spark.read.parquet(metadata_path.removesuffix("_metadata") + "_thresholds") if series else None
     return ForecastModel(adm, occ, list(r["feature_names"]), r["admission_threshold"], r["occupancy_threshold"],
-                         json.loads(r["metrics"] or "{}"), r["timestamp"], r["model_version"])
+                         table, series, json.loads(r["metrics"] or "{}"), r["timestamp"], r["model_version"])
 
 
 def load_latest_model(spark: SparkSession, location: str) -> ForecastModel:

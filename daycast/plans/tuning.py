@@ -14,6 +14,7 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,16 +37,31 @@ def param_grid(grid: dict) -> list[dict]:
     return [dict(zip(keys, values)) for values in itertools.product(*[grid[k] for k in keys])]
 
 
-def _fold_mse(train: DataFrame, test: DataFrame, features, target: str, params: dict) -> float:
+#: Parameters of which a larger fit holds the smaller ones: boosting rounds.
+PREFIX = {"admissions": "maxIter"}
+
+
+def _fold_mse(train: DataFrame, test: DataFrame, features, target: str, params: dict, sizes) -> list[float]:
+    """Test MSE of one fit, or, for boosting, of its first rounds for every number in ``sizes``.
+
+    Round k only adds to the rounds before it, so one fit with the most rounds
+    scores every smaller number as well.
+    """
     label, fit, pred, _ = TARGETS[target]
+    if sizes:
+        model = fit(train, features, label, **{**params, PREFIX[target]: max(sizes)})
+        scaled = PipelineModel(stages=list(model.stages[:-1])).transform(test)
+        errors = model.stages[-1].evaluateEachIteration(scaled, "squared")
+        return [float(errors[n - 1]) for n in sizes]
     model = fit(train, features, label, **params)
-    scored = model.transform(test)
-    row = M.regression_metrics(scored, {target: (label, pred)}).where(F.col("metric") == "mse").first()
-    return float(row["value"]) if row and row["value"] is not None else float("inf")
+    row = M.regression_metrics(model.transform(test), {target: (label, pred)}).where(F.col("metric") == "mse").first()
+    if row is None or row["value"] is None:
+        raise ValueError(f"fold without a row that has {label} and a prediction")
+    return [float(row["value"])]
 
 
 def grid_search(df: DataFrame, features, target: str = "admissions", grid: dict | None = None,
-                n_splits: int = 5, parallelism: int = 4, group_cols=()):
+                n_splits: int = 5, parallelism: int = 8, group_cols=()):
     """M9: the parameters with the lowest mean test MSE over the expanding folds.
 
     Returns ``(best_params, results)`` where ``results`` has one row per
@@ -56,18 +72,25 @@ def grid_search(df: DataFrame, features, target: str = "admissions", grid: dict
     grid = grid or (ADMISSION_GRID if target == "admissions" else OCCUPANCY_GRID)
     base = TARGETS[target][3]
     candidates = [{**base, **c} for c in param_grid(grid)]
-    labelled = time_series_folds(df, n_splits, group_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    prefix = PREFIX.get(target) if PREFIX.get(target) in grid else None
+    # One fit for all candidates that differ in the prefix parameter only.
+    fits: dict[str, list[int]] = {}
+    for ci, c in enumerate(candidates):
+        fits.setdefault(json.dumps({k: v for k, v in c.items() if k != prefix}, sort_keys=True), []).append(ci)
+    labelled = time_series_folds(df, n_splits, group_cols, common=bool(group_cols)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         folds = [fold_frames(labelled, i) for i in range(n_splits)]
-        tasks = [(ci, fi) for ci in range(len(candidates)) for fi in range(n_splits)]
+        tasks = [(members, fi) for members in fits.values() for fi in range(n_splits)]
 
         def run(task):
-            ci, fi = task
+            members, fi = task
             train, test = folds[fi]
-            return ci, fi, _fold_mse(train, test, features, target, candidates[ci])
+            sizes = [candidates[ci][prefix] for ci in members] if prefix else None
+            errors = _fold_mse(train, test, features, target, candidates[members[0]], sizes)
+            return [(ci, fi, mse) for ci, mse in zip(members, errors)]
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            scores = list(pool.map(run, tasks))
+            scores = sorted(x for chunk in pool.map(run, tasks) for x in chunk)
     finally:
         labelled.unpersist()
     means = {}
@@ -83,23 +106,22 @@ def grid_search(df: DataFrame, features, target: str = "admissions", grid: dict
 
 
 def cross_validate(df: DataFrame, features, n_splits: int = 5, admission_params: dict | None = None,
-                   occupancy_params: dict | None = None, group_cols=(), parallelism: int = 2):
+                   occupancy_params: dict | None = None, group_cols=(), parallelism: int = 8):
     """Per fold, fit both models on the earlier rows and score the fold (A9),
     then average per metric (A13). Returns ``(per_fold, mean)`` DataFrames."""
-    labelled = time_series_folds(df, n_splits, group_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = time_series_folds(df, n_splits, group_cols, common=bool(group_cols)).persist(StorageLevel.MEMORY_AND_DISK)
     params = {"admissions": admission_params or {}, "occupancy": occupancy_params or {}}
     try:
-        def run(fi):
+        def run(task):
+            fi, target = task
+            label, fit, pred, _ = TARGETS[target]
             train, test = fold_frames(labelled, fi)
-            rows = []
-            for target, (label, fit, pred, _) in TARGETS.items():
-                model = fit(train, features, label, **params[target])
-                m = M.regression_metrics(model.transform(test), {target: (label, pred)})
-                rows += [(fi, r["target"], r["metric"], r["value"]) for r in m.collect()]
-            return rows
+            model = fit(train, features, label, **params[target])
+            m = M.regression_metrics(model.transform(test), {target: (label, pred)})
+            return [(fi, r["target"], r["metric"], r["value"]) for r in m.collect()]
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = [r for chunk in pool.map(run, range(n_splits)) for r in chunk]
+            rows = [r for chunk in pool.map(run, [(fi, t) for fi in range(n_splits) for t in TARGETS]) for r in chunk]
     finally:
         labelled.unpersist()
     per_fold = df.sparkSession.createDataFrame(rows, "fold int, target string, metric string, value double")

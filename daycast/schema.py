@@ -22,6 +22,8 @@ VISIT_COLUMNS = {
 }
 EMERGENCY_LABEL = "Urgences"
 YES_LABEL = "Oui"
+# Tried after ISO text, in order (the visit files' day-first habit).
+DATE_FORMATS = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy", "dd-MM-yyyy")
 DATE_NAME_PATTERNS = ("date", "arrivée", "départ")
 
 SEASON_MONTHS = {
@@ -42,15 +44,6 @@ IQR_FACTOR = 1.5
 LAGS = (1, 3, 7)
 MA_WINDOW = 7
 
-# Scenario multipliers (season x weekday) and peak overlay factors.
-WINTER_FACTOR = 1.3
-SUMMER_FACTOR = 0.9
-WEEKEND_FACTOR = 0.8
-MONDAY_FACTOR = 1.1
-PEAK_ADMISSIONS_FACTOR = 1.5
-PEAK_OCCUPANCY_FACTOR = 1.2
-OCCUPANCY_CAP = 100.0
-
 # Defaults for features a forecast step does not produce.
 DEFAULT_CALENDAR_VALUE = 1
 DEFAULT_FLAG_VALUE = 0
@@ -73,11 +66,19 @@ COUNT_COLUMNS = (ADMISSIONS, "isEmergency", "needsICU")
 FFILL_COLUMNS = (OCCUPANCY, "waitingHours", "stayDuration")
 SAME_DAY_COLUMNS = ("isEmergency", "needsICU", "waitingHours", "stayDuration")
 
+# The target a lag or moving average is made of.
+LAG_TARGETS = {f"{name}{kind}": target for name, target in (("admissions", ADMISSIONS), ("occupancy", OCCUPANCY))
+               for kind in [*(f"Lag{n}" for n in LAGS), "MA7", "MA7Prev"]}
 ADMISSION_LAGS = tuple(f"admissionsLag{n}" for n in LAGS)
 OCCUPANCY_LAGS = tuple(f"occupancyLag{n}" for n in LAGS)
 MA_COLUMNS = ("admissionsMA7", "occupancyMA7")
 MA_PREV_COLUMNS = ("admissionsMA7Prev", "occupancyMA7Prev")
 
+NUMERIC_COLUMNS = (
+    COUNT_COLUMNS + FFILL_COLUMNS + CALENDAR_COLUMNS + FLAG_COLUMNS
+    + ADMISSION_LAGS + OCCUPANCY_LAGS + MA_COLUMNS + MA_PREV_COLUMNS
+)
+
 # Model inputs by default: calendar, flags, lags and the past-only moving
 # averages. Same-day measures and the current-day moving average are kept in
 # the table but left out, since a forecast cannot know them.

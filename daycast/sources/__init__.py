@@ -1,7 +1,7 @@
 from daycast.sources.readers import (  # noqa: F401
     attach_daily_dates,
     coerce_date_columns,
-    latest_file,
+    latest_table,
     read_by_extension,
     read_csv,
     read_latest,

@@ -19,8 +19,8 @@ _TIME_TYPES = (TimestampType, TimestampNTZType, DateType)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             date_column: str | None = S.DATE) -> DataFrame:
-    """CSV with header; ``date_column`` is parsed to a timestamp, bad values become null.
+             date_column: str | None = S.DATE, formats=S.DATE_FORMATS) -> DataFrame:
+    """CSV with header; ``date_column`` is parsed to a timestamp (ISO text, then ``formats``), bad values become null.
 
     Give ``schema`` on production paths; without it every column is read as text
     (no inference pass over the data).
@@ -30,24 +30,28 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
         reader = reader.schema(schema)
     df = reader.csv(path)
     if date_column and date_column in df.columns:
-        df = df.withColumn(date_column, _as_timestamp(df, date_column))
+        df = df.withColumn(date_column, _as_timestamp(df, date_column, formats))
     return df
 
 
-def _as_timestamp(df: DataFrame, name: str):
+def _as_timestamp(df: DataFrame, name: str, formats=S.DATE_FORMATS):
     dtype = df.schema[name].dataType
     if isinstance(dtype, _TIME_TYPES):
         return F.col(name).cast("timestamp")
-    return parse_timestamp(name)
+    return parse_timestamp(name, formats)
+
 
+def coerce_date_columns(df: DataFrame, patterns=S.DATE_NAME_PATTERNS, formats=S.DATE_FORMATS) -> DataFrame:
+    """Every column whose lower-cased name contains a pattern becomes a timestamp.
 
-def coerce_date_columns(df: DataFrame, patterns=S.DATE_NAME_PATTERNS) -> DataFrame:
-    """Every column whose lower-cased name contains a pattern becomes a timestamp."""
+    Text that is neither ISO nor in one of ``formats`` becomes null;
+    ``prepare.visit_quality`` counts visits that this leaves without a day.
+    """
     pats = [p.lower() for p in patterns]
     targets = [c for c in df.columns if any(p in c.lower() for p in pats)]
     if not targets:
         return df
-    return df.withColumns({c: _as_timestamp(df, c) for c in targets})
+    return df.withColumns({c: _as_timestamp(df, c, formats) for c in targets})
 
 
 def read_by_extension(spark: SparkSession, path: str, schema: StructType | str | None = None,
@@ -67,29 +71,42 @@ def read_by_extension(spark: SparkSession, path: str, schema: StructType | str |
     return df
 
 
-def latest_file(spark: SparkSession, directory: str, glob: str = "*.csv") -> str:
-    """Path of the most recently modified file matching ``glob`` in ``directory``.
+EXTENSIONS = (".csv", ".parquet", ".json")
 
-    Only file metadata is listed (the binary content column is pruned).
+
+def latest_table(spark: SparkSession, directory: str, extensions=EXTENSIONS) -> str:
+    """Path of the most recently written table in ``directory``: a file, or a folder of part
+    files, whose name ends in one of ``extensions``.
+
+    Only file metadata is listed (the binary content column is pruned). A
+    folder is as new as its newest part.
     """
+    base = directory.rstrip("/")
     try:
         files = (
             spark.read.format("binaryFile")
-            .option("pathGlobFilter", glob)
-            .load(directory)
+            .option("recursiveFileLookup", "true")
+            .load(base)
             .select("path", "modificationTime")
         )
-        row = files.orderBy(F.desc("modificationTime"), F.desc("path")).limit(1).collect()
+        # What follows the directory's name; the listed path has the file system's scheme.
+        name = F.split_part(F.element_at(F.split("path", F.lit("\\Q" + base.split("://")[-1] + "/\\E")), -1), F.lit("/"), F.lit(1))
+        tables = files.groupBy(name.alias("name")).agg(F.max("modificationTime").alias("at"))
+        wanted = F.lit(False)
+        for e in extensions:
+            wanted = wanted | F.lower("name").endswith(e)
+        row = tables.where(wanted).orderBy(F.desc("at"), F.desc("name")).limit(1).collect()
     except Exception as exc:  # missing directory surfaces as an analysis error
         raise FileNotFoundError(f"directory {directory!r} cannot be listed: {exc}") from exc
     if not row:
-        raise FileNotFoundError(f"no file matching {glob!r} in {directory!r}")
-    return row[0]["path"]
+        raise FileNotFoundError(f"no table ending in {', '.join(extensions)} in {directory!r}")
+    return f"{base}/{row[0]['name']}"
 
 
-def read_latest(spark: SparkSession, directory: str, schema=None, date_column: str | None = S.DATE) -> DataFrame:
-    """The most recent CSV of a directory, read with :func:`read_csv`."""
-    return read_csv(spark, latest_file(spark, directory), schema, date_column)
+def read_latest(spark: SparkSession, directory: str, schema=None, date_column: str | None = S.DATE,
+                extensions=EXTENSIONS) -> DataFrame:
+    """The most recent table of a directory, all its parts, read by its extension."""
+    return read_by_extension(spark, latest_table(spark, directory, extensions), schema, date_column)
 
 
 def _stamp() -> str:
@@ -100,9 +117,13 @@ def write_table(df: DataFrame, directory: str, name: str | None = None, fmt: str
                 mode: str = "overwrite") -> str:
     """Write ``df`` under ``directory``; the default name is ``processed_data_<timestamp>``.
 
+    The name ends in the format's extension, so that :func:`read_latest` finds it.
+
     Returns the written path (a directory of part files).
     """
-    name = name or f"processed_data_{_stamp()}.{fmt}"
+    name = name or f"processed_data_{_stamp()}"
+    if not name.lower().endswith(f".{fmt}"):
+        name += f".{fmt}"
     path = directory.rstrip("/") + "/" + name
     writer = df.write.mode(mode)
     if fmt == "csv":
