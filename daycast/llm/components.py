@@ -31,7 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _star(edges: DataFrame, keep) -> DataFrame:
     """For each u with neighbours v and m = min(u, v...): edges (v, m) of the kept v, and (u, m)."""
-    least = edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).withColumn("m", F.least("u", "m"))
+    # Written, so that both sides of the join are plain exchanges and a hub's edges can be split.
+    least = materialize(edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).withColumn("m", F.least("u", "m")), "links-least")
     joined = edges.join(least, edges["a"] == least["u"])
     pairs = joined if keep is None else joined.where(keep(F.col("b"), F.col("u")))
     out = pairs.select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daycast.llm.common import block_of, ordered_blocks, partitions
+from daycast.llm.common import block_of, deal_key, ordered_blocks
 
 #: Document-frequency band as shares of all documents: 1 / RAREST up to 1 / COMMONEST.
 RAREST, COMMONEST = 2000, 10
@@ -180,7 +180,7 @@ def neighbour_prints(docs: DataFrame, hashes: np.ndarray, id_col: str = "doc_id"
         rows.select("doc_id", "text", F.explode(places).alias("at"))
         .select("at.block", "at.tail", "doc_id", "text")
         .mapInArrow(_packed, "block int, tail int, doc_id long, text binary")
-        .repartition(min(len(bounds) + 1, partitions(spark)), "block")
+        .repartition(len(bounds) + 1, deal_key(spark, F.col("block"), len(bounds) + 1))
         .sortWithinPartitions("block", "tail", "doc_id", "text")
     )
     sent = spark.sparkContext.broadcast(hashes)

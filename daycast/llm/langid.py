@@ -245,15 +245,17 @@ def label_texts(texts: pa.Array, model: Model, switch: float = SWITCH, with_span
 
 def _spans(words: Words, labels: np.ndarray, langs: list[str], n: int) -> pa.Array:
     """Runs of words of one label in one text, as code-point spans."""
+    if not len(words.first):
+        return pa.array([[]] * n, pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))
     last = np.append(words.first[1:], len(words.letter)) - 1
     begin, end = words.letter[words.first], words.letter[last] + 1
-    new = np.flatnonzero(np.r_[True, (words.text[1:] != words.text[:-1]) | (labels[1:] != labels[:-1])]) if len(begin) else np.zeros(0, np.int64)
-    close = np.append(new[1:], len(begin))[: len(new)] - 1
+    new = np.flatnonzero(np.r_[True, (words.text[1:] != words.text[:-1]) | (labels[1:] != labels[:-1])])
+    close = np.append(new[1:], len(begin)) - 1
     chars = np.r_[0, np.cumsum((words.raw & 0xC0) != 0x80)]
     of = words.text[new]
     base = chars[words.text_at[of]]
     struct = pa.StructArray.from_arrays(
-        [pa.array(np.array(langs, object)[labels[new]] if langs else [None] * len(new), pa.string()), pa.array(chars[begin[new]] - base, pa.int64()), pa.array(chars[end[close]] - base, pa.int64())],
+        [pa.array(np.array(langs or [None], object)[labels[new]], pa.string()), pa.array(chars[begin[new]] - base, pa.int64()), pa.array(chars[end[close]] - base, pa.int64())],
         ["lang", "start", "end"],
     )
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=n))].astype(np.int32)), struct)

@@ -134,7 +134,7 @@ END = WORDS
 
 def outputs_of(codes: np.ndarray, head_class: np.ndarray) -> np.ndarray:
     """Output of each code; ``head_class`` has the output of each head word."""
-    return np.where(codes >= 0, head_class[codes], END - codes)
+    return np.where(codes >= 0, head_class[np.maximum(codes, 0)], END - codes)
 
 
 def head_outputs(vocabulary: Vocabulary) -> np.ndarray:
@@ -335,8 +335,9 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, tabl
                 one, two = contexts(outputs, first)
                 end = outputs == END
                 rare = flat < 0
-                token = tables.log10(outputs, one, two) + np.where(rare, -mass[np.where(rare, -1 - flat, 0)], np.where(end, 0, within[flat]))
-                plain = np.where(rare, absent, np.where(end, base_end, base[flat]))
+                place = np.maximum(flat, 0)
+                token = tables.log10(outputs, one, two) + np.where(rare, -mass[np.where(rare, -1 - flat, 0)], np.where(end, 0, within[place]))
+                plain = np.where(rare, absent, np.where(end, base_end, base[place]))
                 known = np.where(end, vocabulary.ends > 0, ~rare)
                 sums = [np.add.reduceat(x, first) for x in (token, plain, known.astype(np.int64))]
                 sizes = np.diff(np.append(first, len(flat)))

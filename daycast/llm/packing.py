@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import block_of, ordered_blocks, partitions
+from daycast.llm.common import block_of, deal_key, ordered_blocks
 from daycast.llm.tokens import Tokens
 
 WINDOW = 1024
@@ -172,7 +172,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     bounds = ordered_blocks(rows, "doc_id")
-    dealt = rows.withColumn("block", block_of(F.col("doc_id"), bounds)).repartition(min(len(bounds) + 1, partitions(docs.sparkSession)), "block").sortWithinPartitions("block", "doc_id", "text").drop("block")
+    n = len(bounds) + 1
+    keyed = rows.withColumn("block", block_of(F.col("doc_id"), bounds))
+    dealt = keyed.repartition(n, deal_key(docs.sparkSession, F.col("block"), n)).sortWithinPartitions("block", "doc_id", "text").drop("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(tokenizer)
