@@ -12,7 +12,7 @@ def test_interval_uplift_matches_loop(spark):
     series = spark.createDataFrame(list(zip(days, adm, occ)), "date date, totalAdmissions double, avgOccupancyRate double")
     intervals = [(1, days[2], 5), (2, days[4], 7), (3, days[18], 9)]
     iv = spark.createDataFrame(intervals, "seq int, start date, duration int")
-    out = {r.date: r for r in SC.interval_uplift(series, iv).collect()}
+    out = {r.date: r for r in SC.interval_uplift(series, iv, 1.5, 1.2, 100.0).collect()}
     a, o = np.array(adm), np.array(occ)
     for _, start, dur in intervals:  # plain loop: multiply and round at each application
         i = days.index(start)
@@ -29,3 +29,9 @@ def test_zscore(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
     z = sorted(r.zscore for r in SC.zscore(df, "x", 3.0).collect())
     assert z == [-3.0, 0.0, 3.0]
+
+
+def test_zscore_of_constant_and_single_values(spark):
+    df = spark.createDataFrame([("a", 5.0), ("a", 5.0), ("b", 1.0), (None, 2.0), (None, 4.0)], "g string, x double")
+    got = sorted((r.g or "", r.zscore) for r in SC.zscore(df, "x", 1.0, ["g"]).collect() if r.zscore is not None)
+    assert [g for g, _ in got] == ["", "", "a", "a"] and got[2][1] == 0.0 and abs(got[1][1]) > 0.7
