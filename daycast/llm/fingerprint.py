@@ -37,7 +37,7 @@ PER_SUBSET = 4
 #: With fewer lexicon terms, a document is hashed by all its terms.
 FEWEST = 8
 #: Distinct terms a task holds before it hands its counts on.
-HELD_TERMS = 400_000
+HELD_TERMS = 200_000
 _PUNCTUATION = bytes(32 if chr(i) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else i for i in range(256))
 _SEEDS = np.random.default_rng(20240501).integers(0, 2**64, SUBSETS, np.uint64)
 OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

@@ -29,8 +29,8 @@ SWITCH = 12.0
 SMOOTH = 0.5
 #: A language uses a script if at least this share of its words does.
 SCRIPT_SHARE = 0.01
-#: Bytes of text worked on at once.
-STEP_BYTES = 8 << 20
+#: Bytes of text whose words are scored at once, and whose paths are found at once.
+SCORE_BYTES, STEP_BYTES = 1 << 20, 8 << 20
 UNKNOWN = "und"
 
 #: Scripts by the range of a character's first UTF-8 byte.
@@ -120,7 +120,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", SCORE_BYTES):
                 words = words_of(part.column("text"))
                 labels = part.column("lang").dictionary_encode()
                 of = labels.indices.to_numpy(zero_copy_only=False)
@@ -225,40 +225,55 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_to: str
 
 def label_texts(texts: pa.Array, model: Model, switch: float = SWITCH, with_spans: bool = True) -> tuple[pa.Array, pa.Array, pa.Array | None]:
     n, many = len(texts), len(model.langs)
-    words = words_of(texts)
-    lengths = np.bincount(words.text, minlength=n)
+    found = _scored(texts, model, with_spans)
+    size, text = found["size"], found["text"]
+    lengths = np.bincount(text, minlength=n)
     share = np.zeros((n, max(many, 1)))
-    if many and len(words.first):
-        labels = viterbi(word_scores(words, model), lengths, switch)
-        share = np.bincount(words.text * many + labels, weights=words.size, minlength=n * many).reshape(n, many)
+    if many and len(text):
+        labels = viterbi(found["scores"], lengths, switch)
+        share = np.bincount(text * many + labels, weights=size, minlength=n * many).reshape(n, many)
         share /= np.maximum(share.sum(axis=1, keepdims=True), 1)
     else:
-        labels = np.zeros(len(words.first), np.int64)
+        labels = np.zeros(len(text), np.int64)
     best = np.where(lengths > 0, share.argmax(axis=1), model.prior)
     has_letter = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
     known = has_letter & bool(many)
     names = np.array([*model.langs, UNKNOWN], object)
     lang = pa.array(names[np.where(known, best, many)], pa.string())
     score = pa.array(np.where(known & (lengths > 0), share[np.arange(n), np.minimum(best, max(many, 1) - 1)], 0.0))
-    return lang, score, _spans(words, labels, model.langs, n) if with_spans else None
-
-
-def _spans(words: Words, labels: np.ndarray, langs: list[str], n: int) -> pa.Array:
+    return lang, score, _spans(text, labels, found["begin"], found["end"], model.langs, n) if with_spans else None
+
+
+def _scored(texts: pa.Array, model: Model, places: bool) -> dict[str, np.ndarray]:
+    """Of every word: text, letters, scores and, with ``places``, its code-point span; a small slice of texts at a time."""
+    parts, base = [], 0
+    for part in pieces(pa.RecordBatch.from_arrays([texts], ["t"]), "t", SCORE_BYTES):
+        words = words_of(part.column("t"))
+        one = {"text": words.text + base, "size": words.size.astype(np.int32), "scores": word_scores(words, model)}
+        if places:
+            chars = np.r_[0, np.cumsum((words.raw & 0xC0) != 0x80)]
+            last = np.append(words.first[1:], len(words.letter)) - 1
+            origin = chars[words.text_at[words.text]]
+            one["begin"] = chars[words.letter[words.first]] - origin
+            one["end"] = chars[words.letter[last] + 1] - origin if len(words.first) else origin
+        parts.append(one)
+        base += part.num_rows
+    if not parts:
+        return {"text": np.zeros(0, np.int64), "size": np.zeros(0, np.int32), "scores": np.zeros((0, len(model.langs)), np.float32), "begin": np.zeros(0, np.int64), "end": np.zeros(0, np.int64)}
+    return {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
+
+
+def _spans(text: np.ndarray, labels: np.ndarray, begin: np.ndarray, end: np.ndarray, langs: list[str], n: int) -> pa.Array:
     """Runs of words of one label in one text, as code-point spans."""
-    if not len(words.first):
+    if not len(text):
         return pa.array([[]] * n, pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))
-    last = np.append(words.first[1:], len(words.letter)) - 1
-    begin, end = words.letter[words.first], words.letter[last] + 1
-    new = np.flatnonzero(np.r_[True, (words.text[1:] != words.text[:-1]) | (labels[1:] != labels[:-1])])
-    close = np.append(new[1:], len(begin)) - 1
-    chars = np.r_[0, np.cumsum((words.raw & 0xC0) != 0x80)]
-    of = words.text[new]
-    base = chars[words.text_at[of]]
+    new = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (labels[1:] != labels[:-1])])
+    close = np.append(new[1:], len(text)) - 1
     struct = pa.StructArray.from_arrays(
-        [pa.array(np.array(langs or [None], object)[labels[new]], pa.string()), pa.array(chars[begin[new]] - base, pa.int64()), pa.array(chars[end[close]] - base, pa.int64())],
+        [pa.array(np.array(langs or [None], object)[labels[new]], pa.string()), pa.array(begin[new], pa.int64()), pa.array(end[close], pa.int64())],
         ["lang", "start", "end"],
     )
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=n))].astype(np.int32)), struct)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(text[new], minlength=n))].astype(np.int32)), struct)
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:

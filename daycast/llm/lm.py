@@ -38,7 +38,7 @@ MINIBATCH = 4096
 RATE = 0.1
 #: Passes over disjoint parts of the training rows, with the tasks' models averaged after each.
 ROUNDS = 2
-HELD_WORDS = 400_000
+HELD_WORDS = 200_000
 LN10 = float(np.log(10))
 
 

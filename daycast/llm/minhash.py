@@ -34,7 +34,7 @@ UNIVERSE_BITS = 20
 BLOCK = 1000
 #: Cells of the bitmap that says which documents' sets are needed.
 CELLS = 1 << 22
-WORD_CACHE = 400_000
+WORD_CACHE = 200_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
