@@ -24,9 +24,9 @@ from daycast.operators import alerts as AL
 from daycast.operators import metrics as M
 from daycast.operators.keys import join_series
 
-# maxBins: candidate split points per feature; daily features rarely have more distinct values.
-ADMISSION_PARAMS = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 4, "maxBins": 256, "seed": 42}
-OCCUPANCY_PARAMS = {"numTrees": 100, "maxDepth": None, "min_samples_split": 2, "maxBins": 256, "seed": 42}
+# maxBins: candidate split points per feature; raise it for finer splits (time and memory grow with it).
+ADMISSION_PARAMS = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 4, "maxBins": 64, "seed": 42}
+OCCUPANCY_PARAMS = {"numTrees": 100, "maxDepth": None, "min_samples_split": 2, "maxBins": 64, "seed": 42}
 # Spark's deepest tree: what maxDepth=None ("unlimited") means. A larger explicit depth is an error.
 MAX_TREE_DEPTH = 30
 # A fit uses at most about so many rows: beyond that, a share picked by hash. It bounds the

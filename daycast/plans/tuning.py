@@ -41,6 +41,17 @@ def param_grid(grid: dict) -> list[dict]:
 PREFIX = {"admissions": "maxIter"}
 
 
+#: Daily rows per partition while tuning: many small fits run side by side, each with few tasks.
+PART_ROWS = 20_000
+
+
+def _labelled(df: DataFrame, n_splits: int, group_cols) -> DataFrame:
+    """The fold labels on one cached table with partitions of about PART_ROWS rows."""
+    labelled = time_series_folds(df, n_splits, group_cols, common=bool(group_cols))
+    parts = -(-df.count() // PART_ROWS)
+    return labelled.coalesce(max(1, parts)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _fold_mse(train: DataFrame, test: DataFrame, features, target: str, params: dict, sizes) -> list[float]:
     """Test MSE of one fit, or, for boosting, of its first rounds for every number in ``sizes``.
 
@@ -77,7 +88,7 @@ def grid_search(df: DataFrame, features, target: str = "admissions", grid: dict
     fits: dict[str, list[int]] = {}
     for ci, c in enumerate(candidates):
         fits.setdefault(json.dumps({k: v for k, v in c.items() if k != prefix}, sort_keys=True), []).append(ci)
-    labelled = time_series_folds(df, n_splits, group_cols, common=bool(group_cols)).persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = _labelled(df, n_splits, group_cols)
     try:
         folds = [fold_frames(labelled, i) for i in range(n_splits)]
         tasks = [(members, fi) for members in fits.values() for fi in range(n_splits)]
@@ -109,7 +120,7 @@ def cross_validate(df: DataFrame, features, n_splits: int = 5, admission_params:
                    occupancy_params: dict | None = None, group_cols=(), parallelism: int = 8):
     """Per fold, fit both models on the earlier rows and score the fold (A9),
     then average per metric (A13). Returns ``(per_fold, mean)`` DataFrames."""
-    labelled = time_series_folds(df, n_splits, group_cols, common=bool(group_cols)).persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = _labelled(df, n_splits, group_cols)
     params = {"admissions": admission_params or {}, "occupancy": occupancy_params or {}}
     try:
         def run(task):

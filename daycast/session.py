@@ -10,6 +10,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables written by ``materialize``, by application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "daycast") -> SparkSession:
     """A local session configured like the cluster jobs expect (UTC, AQE, no UI)."""
     spark = (
@@ -59,9 +63,23 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def clear_tables(spark: SparkSession) -> int:
+    """Delete the tables :func:`materialize` wrote in this application; returns their number.
+
+    For the owner of a job, once its results are stored: frames that read the tables end here.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm = spark._jvm
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)

@@ -134,3 +134,16 @@ def test_cluster_without_a_checkpoint_folder_is_an_error(monkeypatch):
 
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(Fake)
+
+
+def test_written_tables_can_be_cleared(spark):
+    import os
+
+    from daycast import session
+
+    before = session._WRITTEN.pop(spark.sparkContext.applicationId, [])
+    table = session.materialize(spark.range(5), "cleared")
+    path = session._WRITTEN[spark.sparkContext.applicationId][0]
+    assert table.count() == 5 and os.path.isdir(path.removeprefix("file:"))
+    assert session.clear_tables(spark) == 1 and not os.path.exists(path.removeprefix("file:"))
+    session._WRITTEN[spark.sparkContext.applicationId] = before
