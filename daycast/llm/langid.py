@@ -30,7 +30,7 @@ SMOOTH = 0.5
 #: A language uses a script if at least this share of its words does.
 SCRIPT_SHARE = 0.01
 #: Bytes of text whose words are scored at once, and whose paths are found at once.
-SCORE_BYTES, STEP_BYTES = 1 << 20, 8 << 20
+SCORE_BYTES, STEP_BYTES = 1 << 20, 4 << 20
 UNKNOWN = "und"
 
 #: Scripts by the range of a character's first UTF-8 byte.
@@ -219,6 +219,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_to: str
                 lang, score, spans = label_texts(part.column(text_col), sent.value, switch, bool(spans_to))
                 columns = [*part.columns, lang, score] + ([spans] if spans_to else [])
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, *new])
+        pa.default_memory_pool().release_unused()  # an idle worker should not hold a batch's memory
 
     return docs.select(*kept).mapInArrow(run, schema)
 

@@ -186,6 +186,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
                     yield out
         if (out := stream.pack(last=True)) is not None:
             yield out
+        pa.default_memory_pool().release_unused()  # an idle worker should not hold a batch's memory
 
     return dealt.mapInArrow(run, PIECES)
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from daycast.llm.secrets import encoding
 
 #: Cached pieces of one worker; the cache starts anew beyond that.
-CACHE = 200_000
+CACHE = 150_000
 #: Longer pieces are not cached.
 LONG_PIECE = 48
 TOKENIZER = "byte_bpe_50k.tiktoken"
