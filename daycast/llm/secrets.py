@@ -4,7 +4,7 @@ A tokenizer needs few tokens for words and many for random strings. Runs of key
 characters that mix character classes and come out below ``max_ratio``
 characters per token are reported as kind ``random``, unless they are a known
 digest (hex of a digest's length), an identifier (UUID, number, words joined by
-separators) or lie in a span the patterns already found.
+separators) or lie wholly in a span the patterns already found.
 """
 
 from __future__ import annotations
@@ -31,7 +31,10 @@ KINDS = ("assign", "access", "hex", "random")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 #: Lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hex.
 DIGESTS = (32, 40, 56, 64, 96, 128)
+DIGEST = re.compile("(?:(?:md5|sha-?[0-9]{1,3})[-_=])?(?:" + "|".join(f"[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}}" for n in DIGESTS) + ")")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+#: Characters that make a hex span part of something longer; a slash separates the parts of a path.
+_JOINED = re.compile(r"[A-Za-z0-9+_=-]+")
 #: Below so many characters a token a run counts as random.
 MAX_RATIO = 2.1
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -55,13 +58,26 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def digest(run: str) -> bool:
+    """A digest, alone or after its algorithm's name, or a UUID."""
+    return bool(DIGEST.fullmatch(run) or UUID.fullmatch(run))
+
+
 def known(run: str) -> bool:
     """Digests and identifiers: strings that look random but are public names."""
-    if run.isdigit() or UUID.fullmatch(run) or len(run) in DIGESTS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run):
-        return True
+    return run.isdigit() or all(digest(part) or words(part) for part in run.split("/"))
+
+
+def words(run: str) -> bool:
     return all(re.fullmatch(r"[A-Z]?[a-z]*|[A-Z]+|[0-9]{1,4}", part) for part in re.split(r"[-+/_=]+", run))
 
 
+def public_hex(text: str) -> set[tuple[int, int]]:
+    """The hex spans of ``text`` that are a digest, with nothing joined to it."""
+    wholes = (m for m in _JOINED.finditer(text) if len(m[0]) >= LEAST["hex"])
+    return {(m.start() + h.start(), m.start() + h.end()) for m in wholes if digest(m[0].strip("-+_=")) for h in HEX_LONG.finditer(m[0])}
+
+
 def mixed(run: str) -> bool:
     """Letters with digits, or letters that change case again and again."""
     letters, digits = re.search(r"[A-Za-z]", run), re.search(r"[0-9]", run)
@@ -71,7 +87,7 @@ def mixed(run: str) -> bool:
 def random_spans(text: str, taken: list[tuple[str, int, int]], encode, max_ratio: float) -> list[tuple[str, int, int]]:
     found = []
     for m in RUN.finditer(text):
-        if not mixed(m[0]) or known(m[0]) or any(a < m.end() and m.start() < b for _, a, b in taken):
+        if not mixed(m[0]) or known(m[0]) or any(a <= m.start() and m.end() <= b for _, a, b in taken):
             continue
         if len(m[0]) < max_ratio * len(encode(m[0])):
             found.append(("random", *m.span()))
@@ -118,10 +134,10 @@ def find_secrets(docs: DataFrame, text_col: str = "text", to: str = "secret_span
     return docs.select(*kept).mapInArrow(run, schema)
 
 
-def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", kinds: tuple[str, ...] = ("assign", "access", "random")) -> DataFrame:
+def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """``docs`` with every span of ``kinds`` replaced by ``mask``; no row goes. Overlapping spans become one mask.
 
-    Bare hex strings are digests and numbers as a rule and stay by default.
+    Hex spans that are a digest or UUID, with nothing joined to it, stay.
     ``n_chars``, where present, follows the new text.
     """
     spans = "__secret_spans"
@@ -135,7 +151,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET
             if hit:
                 new = texts.to_pylist()
                 for i in hit:
-                    new[i] = masked(new[i], [(s["start"], s["end"]) for s in marked[i].as_py() if s["kind"] in kinds], mask)
+                    new[i] = masked(new[i], to_mask(new[i], [(s["kind"], s["start"], s["end"]) for s in marked[i].as_py()], kinds), mask)
                 texts = pa.array(new, texts.type)
             columns = [texts if n == text_col else c for n, c in zip(batch.schema.names, batch.columns) if n != spans]
             yield pa.RecordBatch.from_arrays(columns, [n for n in batch.schema.names if n != spans])
@@ -146,6 +162,12 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET
     return out
 
 
+def to_mask(text: str, spans: list[tuple[str, int, int]], kinds: tuple[str, ...] = KINDS) -> list[tuple[int, int]]:
+    """Places of the ``spans`` of ``kinds``, less the hex spans that are public."""
+    public = public_hex(text) if any(k == "hex" for k, _, _ in spans) else set()
+    return [(a, b) for k, a, b in spans if k in kinds and not (k == "hex" and (a, b) in public)]
+
+
 def masked(text: str, spans: list[tuple[int, int]], mask: str) -> str:
     parts, at = [], 0
     for a, b in sorted(spans):
