@@ -27,6 +27,9 @@ CELLS = 1 << 17
 #: Log-probability lost at a change of language between words.
 SWITCH = 12.0
 SMOOTH = 0.5
+#: A text fits its languages if a letter's log-probability is on average at most so far below that of their own
+#: texts, besides ``NOISE`` standard errors of the text's length.
+MARGIN, NOISE = 2.5, 3.0
 #: A language uses a script if at least this share of its words does.
 SCRIPT_SHARE = 0.01
 #: Bytes of text whose words are scored at once, and whose paths are found at once.
@@ -97,6 +100,8 @@ class Model:
     logp: np.ndarray  # (languages, CELLS) float32
     uses: np.ndarray  # (scripts, languages) bool
     prior: int  # the language with most training words
+    typical: np.ndarray  # mean log-probability of a letter of each language's own text
+    spread: np.ndarray  # and its variance
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
@@ -144,11 +149,14 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     cells, scripts = table[:, :CELLS] + SMOOTH, table[:, CELLS:]
     logp = np.log(cells / cells.sum(axis=1, keepdims=True)).astype(np.float32)
     uses = (scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=1, keepdims=True), 1)).T
-    return Model(langs, logp, uses, int(scripts.sum(axis=1).argmax()) if langs else -1)
+    weights = table[:, :CELLS] / np.maximum(table[:, :CELLS].sum(axis=1, keepdims=True), 1)
+    typical = (weights * logp).sum(axis=1)
+    spread = (weights * (logp - typical[:, None]) ** 2).sum(axis=1)
+    return Model(langs, logp, uses, int(scripts.sum(axis=1).argmax()) if langs else -1, typical, spread)
 
 
 def word_scores(words: Words, model: Model) -> np.ndarray:
-    """(words, languages): log-probabilities; languages that don't use a word's script are ruled out."""
+    """(words, languages): log-probabilities; languages that don't use a word's script are ruled out, 0 where nobody does."""
     out = np.empty((len(words.first), len(model.langs)), np.float32)
     for k in range(len(model.langs)):
         out[:, k] = np.add.reduceat(model.logp[k][words.cell], words.first) if len(words.first) else 0
@@ -202,9 +210,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_to: str
 
     ``lang_to`` is a learned label, or ``und`` with score 0 where the text is
     null or empty, has no letter, or nothing was learned. A text whose only
-    letters are outside the word ranges gets the commonest label with score 0.
+    letters are outside the word ranges, or in scripts that no language uses,
+    gets the commonest label with score 0; beside other words, words of such
+    scripts count as letters of no language. A text whose letters are less
+    likely than ``MARGIN`` allows (gibberish, most languages that were not
+    learned) keeps its label with score 0.
     ``spans_to`` (None: left out) is an array of (lang, start, end) in code
-    points of the lower-cased text, one entry per run of words of one language.
+    points of the lower-cased text, one entry per run of words of one language;
+    words of a script that no language uses are ``und``.
     Columns of these names are replaced; other columns and repeated rows stay.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -232,17 +245,29 @@ def label_texts(texts: pa.Array, model: Model, switch: float = SWITCH, with_span
     share = np.zeros((n, max(many, 1)))
     if many and len(text):
         labels = viterbi(found["scores"], lengths, switch)
-        share = np.bincount(text * many + labels, weights=size, minlength=n * many).reshape(n, many)
-        share /= np.maximum(share.sum(axis=1, keepdims=True), 1)
+        own = found["used"]
+        share = np.bincount((text * many + labels)[own], weights=size[own], minlength=n * many).reshape(n, many)
+        fits = _fits(found, labels, share, model)
+        share = share / np.maximum(np.bincount(text, weights=size, minlength=n), 1)[:, None]
+        labels[~own] = many
     else:
-        labels = np.zeros(len(text), np.int64)
-    best = np.where(lengths > 0, share.argmax(axis=1), model.prior)
+        labels, fits = np.zeros(len(text), np.int64), np.zeros(n, bool)
+    best = np.where(share.any(axis=1), share.argmax(axis=1), model.prior)
     has_letter = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
     known = has_letter & bool(many)
     names = np.array([*model.langs, UNKNOWN], object)
     lang = pa.array(names[np.where(known, best, many)], pa.string())
-    score = pa.array(np.where(known & (lengths > 0), share[np.arange(n), np.minimum(best, max(many, 1) - 1)], 0.0))
-    return lang, score, _spans(text, labels, found["begin"], found["end"], model.langs, n) if with_spans else None
+    score = pa.array(np.where(known & fits, share[np.arange(n), np.minimum(best, max(many, 1) - 1)], 0.0))
+    return lang, score, _spans(text, labels, found["begin"], found["end"], names.tolist(), n) if with_spans else None
+
+
+def _fits(found: dict[str, np.ndarray], labels: np.ndarray, letters: np.ndarray, model: Model) -> np.ndarray:
+    """Texts whose labelled words are about as likely as the languages' own texts; ``letters`` by text and language."""
+    own = np.flatnonzero(found["used"])
+    score = np.bincount(found["text"][own], weights=found["scores"][own, labels[own]], minlength=len(letters))
+    total = letters.sum(axis=1)
+    least = letters @ model.typical - MARGIN * total - NOISE * np.sqrt(letters @ model.spread)
+    return (total > 0) & (score >= least)
 
 
 def _scored(texts: pa.Array, model: Model, places: bool) -> dict[str, np.ndarray]:
@@ -250,7 +275,7 @@ def _scored(texts: pa.Array, model: Model, places: bool) -> dict[str, np.ndarray
     parts, base = [], 0
     for part in pieces(pa.RecordBatch.from_arrays([texts], ["t"]), "t", SCORE_BYTES):
         words = words_of(part.column("t"))
-        one = {"text": words.text + base, "size": words.size.astype(np.int32), "scores": word_scores(words, model)}
+        one = {"text": words.text + base, "size": words.size.astype(np.int32), "scores": word_scores(words, model), "used": model.uses.any(axis=1)[words.script]}
         if places:
             chars = np.r_[0, np.cumsum((words.raw & 0xC0) != 0x80)]
             last = np.append(words.first[1:], len(words.letter)) - 1
@@ -260,7 +285,7 @@ def _scored(texts: pa.Array, model: Model, places: bool) -> dict[str, np.ndarray
         parts.append(one)
         base += part.num_rows
     if not parts:
-        return {"text": np.zeros(0, np.int64), "size": np.zeros(0, np.int32), "scores": np.zeros((0, len(model.langs)), np.float32), "begin": np.zeros(0, np.int64), "end": np.zeros(0, np.int64)}
+        return {"text": np.zeros(0, np.int64), "size": np.zeros(0, np.int32), "scores": np.zeros((0, len(model.langs)), np.float32), "used": np.zeros(0, bool), "begin": np.zeros(0, np.int64), "end": np.zeros(0, np.int64)}
     return {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
 
 
@@ -271,14 +296,14 @@ def _spans(text: np.ndarray, labels: np.ndarray, begin: np.ndarray, end: np.ndar
     new = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (labels[1:] != labels[:-1])])
     close = np.append(new[1:], len(text)) - 1
     struct = pa.StructArray.from_arrays(
-        [pa.array(np.array(langs or [None], object)[labels[new]], pa.string()), pa.array(begin[new], pa.int64()), pa.array(end[close], pa.int64())],
+        [pa.array(np.array(langs, object)[labels[new]], pa.string()), pa.array(begin[new], pa.int64()), pa.array(end[close], pa.int64())],
         ["lang", "start", "end"],
     )
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(text[new], minlength=n))].astype(np.int32)), struct)
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` in which some language has at least ``least`` of the letters; columns as they were."""
+    """The rows of ``docs`` that fit their languages and in which one has at least ``least`` of the letters; columns as they were."""
     lang, score = "__lang_pred", "__lang_score"
     found = identify(docs, model, lang_to=lang, score_to=score, spans_to=None)
     return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).drop(lang, score)

@@ -81,3 +81,25 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     rows = got.where("held_out").join(truth, "doc_id").collect()
     assert len(rows) > 200 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.99 * len(rows)
+
+
+def test_unlearned_languages_and_gibberish_are_dropped(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("text", "lang")
+    learned = langid.learn(docs)
+    r = random.Random(5)
+    odd = [
+        "все люди рождаются свободными и равными в своем достоинстве",
+        "人人生而自由在尊严和权利上一律平等",
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+        "".join(r.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(400)),
+    ]
+    rows = spark.createDataFrame([(t, "") for t in odd], docs.schema)
+    assert [r["lang_score"] for r in langid.identify(rows, learned).collect()] == [0.0] * len(odd)
+    kept = langid.keep_identified(docs.unionByName(rows), learned)
+    assert kept.count() == docs.count() and not {r["text"] for r in kept.collect()} & set(odd)
+
+
+def test_words_of_an_unused_script_count_for_no_language(model):
+    lang, score, spans = langid.label_texts(pa.array(["the cat 漢字漢字漢字漢字"]), model)
+    assert lang[0].as_py() == "en" and score[0].as_py() == pytest.approx(6 / 30)
+    assert [s["lang"] for s in spans[0].as_py()] == ["en", "und"]
