@@ -181,7 +181,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
         return labels
     #: So many texts have a word t.
     active = np.searchsorted(-lengths[order], -np.arange(longest), side="left")
-    came_from = np.zeros(len(scores), np.int8)
+    came_from = np.zeros(len(scores), np.min_scalar_type(max(scores.shape[1] - 1, 0)))
     switched = np.zeros(scores.shape, bool)
     state = scores[start[: active[0]]]
     rows = np.arange(active[0])

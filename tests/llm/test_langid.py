@@ -103,3 +103,9 @@ def test_words_of_an_unused_script_count_for_no_language(model):
     lang, score, spans = langid.label_texts(pa.array(["the cat 漢字漢字漢字漢字"]), model)
     assert lang[0].as_py() == "en" and score[0].as_py() == pytest.approx(6 / 30)
     assert [s["lang"] for s in spans[0].as_py()] == ["en", "und"]
+
+
+def test_more_labels_than_a_byte_holds():
+    scores = np.full((4, 300), -50.0, np.float32)
+    scores[0, 299] = scores[1, 200] = scores[2, 130] = scores[3, 256] = 0
+    assert langid.viterbi(scores, np.array([2, 2]), 1.0).tolist() == [299, 200, 130, 256]
