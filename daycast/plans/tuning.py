@@ -13,8 +13,9 @@ import itertools
 import json
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import PipelineModel
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +38,8 @@ def param_grid(grid: dict) -> list[dict]:
     return [dict(zip(keys, values)) for values in itertools.product(*[grid[k] for k in keys])]
 
 
-#: Parameters of which a larger fit holds the smaller ones: boosting rounds.
-PREFIX = {"admissions": "maxIter"}
+#: Parameters of which a larger fit holds the smaller ones: boosting rounds, and trees of a forest.
+PREFIX = {"admissions": "maxIter", "occupancy": "numTrees"}
 
 
 #: Daily rows per partition while tuning: many small fits run side by side, each with few tasks.
@@ -53,22 +54,43 @@ def _labelled(df: DataFrame, n_splits: int, group_cols) -> DataFrame:
 
 
 def _fold_mse(train: DataFrame, test: DataFrame, features, target: str, params: dict, sizes) -> list[float]:
-    """Test MSE of one fit, or, for boosting, of its first rounds for every number in ``sizes``.
+    """Test MSE of one fit, or of its first rounds or trees for every number in ``sizes``.
 
-    Round k only adds to the rounds before it, so one fit with the most rounds
-    scores every smaller number as well.
+    Round k only adds to the rounds before it, and the trees of a forest do not
+    depend on each other, so one fit with the most scores every smaller number.
     """
     label, fit, pred, _ = TARGETS[target]
+    if sizes and target == "occupancy":
+        model = fit(train, features, label, **{**params, PREFIX[target]: max(sizes)})
+        scaled = PipelineModel(stages=list(model.stages[:-1])).transform(test)
+        return [_mse(first_trees(model.stages[-1], n).transform(scaled), target) for n in sizes]
     if sizes:
         model = fit(train, features, label, **{**params, PREFIX[target]: max(sizes)})
         scaled = PipelineModel(stages=list(model.stages[:-1])).transform(test)
         errors = model.stages[-1].evaluateEachIteration(scaled, "squared")
         return [float(errors[n - 1]) for n in sizes]
-    model = fit(train, features, label, **params)
-    row = M.regression_metrics(model.transform(test), {target: (label, pred)}).where(F.col("metric") == "mse").first()
+    return [_mse(fit(train, features, label, **params).transform(test), target)]
+
+
+def first_trees(forest: RandomForestRegressionModel, n: int) -> RandomForestRegressionModel:
+    """The forest of the first ``n`` trees."""
+    sc = SparkContext._active_spark_context
+    trees, classes = forest._java_obj.trees(), sc._jvm.org.apache.spark.ml.regression
+    first = sc._gateway.new_array(classes.DecisionTreeRegressionModel, n)
+    for i in range(n):
+        first[i] = trees[i]
+    made = classes.RandomForestRegressionModel(f"{forest.uid}_{n}", first, forest.numFeatures)
+    made.set(made.getParam("numTrees"), n)  # the divisor of the mean
+    small = RandomForestRegressionModel(made)
+    return small.setFeaturesCol(forest.getFeaturesCol()).setPredictionCol(forest.getPredictionCol())
+
+
+def _mse(scored: DataFrame, target: str) -> float:
+    label, _, pred, _ = TARGETS[target]
+    row = M.regression_metrics(scored, {target: (label, pred)}).where(F.col("metric") == "mse").first()
     if row is None or row["value"] is None:
         raise ValueError(f"fold without a row that has {label} and a prediction")
-    return [float(row["value"])]
+    return float(row["value"])
 
 
 def grid_search(df: DataFrame, features, target: str = "admissions", grid: dict | None = None,

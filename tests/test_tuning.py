@@ -30,3 +30,29 @@ def test_cross_validate_folds(spark):
     per_fold, mean = TU.cross_validate(daily, J.default_features(daily), 3, {"maxIter": 2}, {"numTrees": 2})
     assert per_fold.select("fold").distinct().count() == 3
     assert mean.count() == 8  # 2 targets x 4 metrics
+
+
+def test_first_trees_of_a_forest_score_the_smaller_numbers(spark):
+    daily = J.prepare_model_input(catalog.orders_features(spark, "/root/testdata/sf0.001")).persist()
+    feats = J.default_features(daily)
+    grid = {"numTrees": [2, 5], "maxDepth": [3], "min_samples_split": [2]}
+    _, results = TU.grid_search(daily, feats, "occupancy", grid, n_splits=2, parallelism=2)
+    assert results.count() == 2 * 2
+    model = TU.MD.fit_occupancy(daily, feats, numTrees=5, maxDepth=3, min_samples_split=2)
+    forest = model.stages[-1]
+    scaled = TU.PipelineModel(stages=model.stages[:-1]).transform(daily.limit(20)).persist()
+    rows = [r[forest.getFeaturesCol()] for r in scaled.collect()]
+    for n in (2, 5):
+        got = [r[TU.MD.PRED_OCC] for r in TU.first_trees(forest, n).transform(scaled).collect()]
+        want = [sum(t.predict(x) for t in forest.trees[:n]) / n for x in rows]
+        assert max(abs(a - b) for a, b in zip(got, want)) < 1e-9
+    assert [forest.predict(x) for x in rows] == [TU.first_trees(forest, 5).predict(x) for x in rows]
+
+
+def test_grid_search_queries_run_the_whole_grids(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(TU, "_fold_mse", lambda train, test, features, target, params, sizes: seen.append(target) or [0.0] * len(sizes))
+    for name, target in (("grid_search", "admissions"), ("grid_search_occupancy", "occupancy")):
+        rows = catalog.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+        assert len({r.params for r in rows}) == 27 and len(rows) == 27 * 5
+        assert seen.count(target) == 9 * 5
