@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks keys, passwords and random strings; every document stays."""
+    """Masks keys, passwords, hex strings other than digests, and random strings; every document stays."""
     return secrets.redact_secrets(docs)
 
 
