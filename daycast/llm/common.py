@@ -87,3 +87,39 @@ def block_of(key: Column, bounds: list[int]) -> Column:
     near = F.slice(edges, F.greatest((group - 1) * k + 1, F.lit(1)), k)
     inside = F.size(F.filter(near, lambda e: e <= key))
     return F.when(key.isNull() | (group == 0), 0).otherwise((group - 1) * k + inside)
+
+
+def in_order(df: DataFrame, key: str, tie: str, rows: int = BLOCK_ROWS) -> DataFrame:
+    """``df`` dealt out by ranges of the long column ``key``, ordered inside each task, with the range's number in ``block``.
+
+    Blocks and the rows in them are in ascending order of ``key`` (nulls first),
+    then of a hash of ``tie``, then of ``tie``. A key or null that fills several
+    blocks is divided among them by that hash, so no key is one task's work. The
+    bounds come from ``percentile_approx`` on the key alone; there are at most 16
+    per shuffle partition.
+    """
+    spark = df.sparkSession
+    n, nulls = df.agg(F.count(F.lit(1)), F.count_if(F.col(key).isNull())).first()
+    parts = max(1, min(-(-n // rows), 16 * partitions(spark)))
+    empty = -(-nulls * parts // n) if nulls else 0
+    shares = [i / parts for i in range(1, parts)]
+    bounds = (df.agg(F.percentile_approx(key, shares, 20 * parts).alias("p")).first()["p"] or []) if shares else []
+    col, share = F.col(key), F.pmod(F.xxhash64(tie), F.lit(1 << 20)) / float(1 << 20)
+    if bounds:
+        k = max(1, round(len(bounds) ** 0.5))
+        edges, coarse = (F.lit([int(b) for b in x]) for x in (bounds, bounds[::k]))
+
+        def count(under) -> Column:
+            group = F.size(F.filter(coarse, under))
+            inside = F.size(F.filter(F.slice(edges, F.greatest((group - 1) * k + 1, F.lit(1)), k), under))
+            return F.when(group == 0, 0).otherwise((group - 1) * k + inside)
+
+        below, upto = count(lambda e: e < col), count(lambda e: e <= col)
+        place = F.when(upto > below, below + 1 + F.floor(share * (upto - below)).cast("int")).otherwise(below)
+    else:
+        place = F.lit(0)
+    block = F.when(col.isNull(), F.floor(share * empty).cast("int")).otherwise(place + empty)
+    n_blocks = len(bounds) + 1 + empty
+    keyed = df.withColumn("block", block.cast("int"))
+    dealt = keyed.repartition(n_blocks, deal_key(spark, F.col("block"), n_blocks))
+    return dealt.sortWithinPartitions("block", F.col(key).asc_nulls_first(), F.xxhash64(tie), tie)

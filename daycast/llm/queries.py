@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm import chat, exact_dedup, fingerprint, langid, lm, minhash, packing, pieces, secrets, warc
+from daycast.llm import chat, exact_dedup, fingerprint, langid, lm, minhash, packing, pieces, search, secrets, spelling, tokenfiles, warc
 from daycast.llm.common import crc_mod, table
 
 
@@ -162,6 +162,49 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all texts, some of them with one letter lost by rule, and their forms."""
+    return spelling.spelling_groups(spelling.word_counts(table(spark, sf_dir, "documents"), edit=spelling.planted_edit))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document read back from the token files."""
+    return tokenfiles.token_round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), d AS (
+  SELECT doc_id, row, CAST(len(terms) AS BIGINT) AS n, terms FROM words WHERE len(terms) > 0
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d
+), q AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term
+), tf AS (
+  SELECT doc_id, row, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, row, n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY doc_id, row, n, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term
+), scored AS (
+  SELECT item_id, doc_id, row, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term), totals GROUP BY item_id, doc_id, row
+), ranked AS (
+  SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_fingerprint": op2_fingerprint,
@@ -173,5 +216,8 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_chat_format": op10_chat_format,
+    "op11_spelling": op11_spelling,
+    "op12_token_files": op12_token_files,
+    "op13_search": op13_search,
 }
-ORACLE = {"op5_warc": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op10_chat_format": OP10_SQL}
+ORACLE = {"op5_warc": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op10_chat_format": OP10_SQL, "op13_search": OP13_SQL}
