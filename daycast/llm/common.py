@@ -37,6 +37,11 @@ def pieces_of(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def give_back() -> None:
+    """At a task's end: Arrow's free memory back to the system, as an idle worker should not hold it."""
+    pa.default_memory_pool().release_unused()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column without copying; nulls become empty texts."""
     if column.null_count:

@@ -19,10 +19,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import pieces_of
+from daycast.llm.common import give_back, pieces_of
 from daycast.llm.components import components
 from daycast.session import materialize
 
@@ -32,8 +32,6 @@ BANDS, ROWS = 40, 5
 UNIVERSE_BITS = 20
 #: Rows of one side of a block of late comparisons.
 BLOCK = 1000
-#: Cells of the bitmap that says which documents' sets are needed.
-CELLS = 1 << 22
 WORD_CACHE = 200_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -103,7 +101,7 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """(id, n, set, bands) of every row; ``set`` is a digest of the shingle set (null: empty set)."""
+    """(id, key, n, set, bands) of every row; ``set`` is a digest of the shingle set (null: empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -116,15 +114,53 @@ def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     keys.append(band_keys(signature(s, bands * rows), bands, rows) if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["id", "n", "set", "bands"],
+                    [part.column("id"), part.column("key"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    ["id", "key", "n", "set", "bands"],
                 )
+        give_back()
 
-    return docs.mapInArrow(run, "id long, n long, set binary, bands array<long>")
+    return docs.mapInArrow(run, "id long, key string, n long, set binary, bands array<long>")
+
+
+def _key(text: Column) -> Column:
+    """What tells rows of one id apart: a digest of the text; null is empty."""
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("id"), _key(F.col(text_col)).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
+
+
+def set_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS, join_ids: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): ``rows`` has id, key, n and set of every row; ``classes`` one row per distinct non-empty set:
+    set, node (its number), rep (the least id with it) and label (the same for all linked classes).
+
+    ``join_ids`` also links the classes of one id. Rows without an id are in no class.
+    """
+    texts = _texts(docs, id_col, text_col)
+    marked = materialize(signatures(texts, shingle, bands, rows), "minhash")
+    held = marked.where("id IS NOT NULL AND set IS NOT NULL")
+    # Equal sets form one class, which the least (id, text) stands for.
+    classes = held.groupBy("set").agg(F.min(F.struct("id", "key", "bands")).alias("one"))
+    classes = materialize(classes.select("set", F.monotonically_increasing_id().alias("node"), F.col("one.id").alias("rep"), F.col("one.key").alias("key"), F.col("one.bands").alias("bands")), "minhash-classes")
+    tried = verified(candidates(classes.select(F.col("node").alias("id"), "bands")), classes, texts, shingle)
+    near = F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * threshold
+    direct = tried.where(near).select("a", "b")
+    links = direct.union(late_links(tried, components(direct), threshold))
+    if join_ids:
+        links = links.union(_links_of_ids(held, classes))
+    label = components(links)
+    labelled = classes.join(label.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("set", "node", "rep", F.coalesce("component", "node").alias("label"))
+    return marked, materialize(labelled, "minhash-labels")
+
+
+def _links_of_ids(held: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): every class of an id with several and the least of them."""
+    several = held.groupBy("id").agg(F.min("set").alias("one"), F.max("set").alias("other")).where("one <> other").select(F.col("id").alias("of"), F.col("one").alias("first"))
+    pairs = held.join(several, F.col("id") == F.col("of")).where(F.col("set") != F.col("first")).select("set", "first").distinct()
+    number = classes.select(F.col("set").alias("of_set"), "node")
+    left = pairs.join(number.withColumnRenamed("node", "a"), F.col("set") == F.col("of_set")).drop("of_set")
+    return left.join(number.withColumnRenamed("node", "b"), F.col("first") == F.col("of_set")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -133,24 +169,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Returns one row per input row: ``id_col``, n_shingles, component_id (the
     least id reachable over links, itself included), kept (id = component_id).
     Null or empty texts, and texts of white space, have an empty set and are
-    linked with nothing. Rows that share an id are one document that links by
-    any of its texts. Rows with a null id get component_id null and are kept.
-    Extra columns are ignored; an empty table gives no row. A pair at the
-    threshold is missed with probability (1 - s**rows)**bands, 1.3e-7 at 80 per
-    cent by default.
+    linked with nothing. Rows that share an id are one document: it is linked by
+    each of its texts, and all its rows have one component. Rows with a null id
+    get component_id null and are kept. Extra columns are ignored; an empty table
+    gives no row. A pair at the threshold is missed with probability
+    (1 - s**rows)**bands, 1.3e-7 at 80 per cent by default.
     """
-    marked = materialize(signatures(_texts(docs, id_col, text_col), shingle, bands, rows), "minhash")
-    # Equal sets form one class, which the least id stands for.
-    classes = marked.where("id IS NOT NULL AND set IS NOT NULL").groupBy("set").agg(F.min("id").alias("rep"))
-    centres = marked.join(classes.withColumnRenamed("set", "of"), (F.col("set") == F.col("of")) & (F.col("id") == F.col("rep")), "left_semi")
-    tried = verified(candidates(centres), docs.transform(_texts, id_col, text_col), shingle)
-    near = F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * threshold
-    direct = tried.where(near).select("a", "b")
-    late = late_links(tried, components(direct), threshold)
-    label = components(direct.union(late))
-    by_class = classes.join(label, classes["rep"] == label["node"], "left").select(F.col("set").alias("of"), F.coalesce("component", "rep").alias("component"))
+    marked, classes = set_classes(docs, id_col, text_col, shingle, threshold, bands, rows)
+    least = classes.groupBy("label").agg(F.min("rep").alias("component")).withColumnRenamed("label", "of_label")
+    by_class = classes.join(least, F.col("label") == F.col("of_label")).select(F.col("set").alias("of"), "component")
     out = marked.join(by_class, marked["set"] == by_class["of"], "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    # A row of white space has no class; its id may have other texts.
+    several = marked.where("id IS NOT NULL").groupBy("id").agg(F.count_if(F.col("set").isNull()).alias("empty"), F.count("set").alias("full")).where("empty > 0 AND full > 0")
+    partly = out.where("set IS NOT NULL").join(several, "id", "left_semi").groupBy("id").agg(F.min("component").alias("own")).withColumnRenamed("id", "of_id")
+    out = out.join(partly, F.col("id") == F.col("of_id"), "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "own", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
@@ -165,26 +198,27 @@ def candidates(centres: DataFrame) -> DataFrame:
     return materialize(pairs.where("a <> b").distinct(), "minhash-pairs")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """Pairs with both (size of the intersection), n_a, n_b, plus (a's set less b's) and minus (b's less a's)."""
-    spark = pairs.sparkSession
-    cell = F.pmod(F.xxhash64("id"), F.lit(CELLS))
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).select(cell.cast("int").alias("cell")).distinct().toArrow()
-    bits = np.zeros(CELLS, bool)
-    bits[wanted.column("cell").to_numpy()] = True
-    sent = spark.sparkContext.broadcast(np.packbits(bits))
+def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Pairs of class numbers with both (size of the intersection), n_a, n_b, plus (a's set less b's) and minus (b's less a's).
+
+    Only the texts that stand for a class of a pair are read again, found by a join on their id and digest.
+    """
+    nodes = pairs.select(F.col("a").alias("of")).union(pairs.select("b")).distinct()
+    wanted = classes.join(nodes, classes["node"] == nodes["of"], "left_semi").select(F.col("rep").alias("of_id"), F.col("key").alias("of_key"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, wanted = _Words(), np.unpackbits(sent.value).astype(bool)
+        words = _Words()
         for batch in batches:
-            hit = batch.filter(pa.array(wanted[batch.column("cell").to_numpy()]))
-            sets = [shingle_set(t.as_py(), size, words).view(np.int64) for t in hit.column("text")]
-            yield pa.RecordBatch.from_arrays([hit.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
-
-    # The bitmap has a fixed size; what it lets through in excess finds no pair below.
-    sets = materialize(texts.where("id IS NOT NULL").withColumn("cell", cell.cast("int")).select("id", "cell", "text").mapInArrow(run, "id long, shingles array<long>"), "minhash-sets")
-    left, right = (sets.select(F.col("id").alias(f"{x}_id"), F.col("shingles").alias(f"{x}_set")) for x in "ab")
-    both = pairs.join(left, F.col("a") == F.col("a_id")).join(right, F.col("b") == F.col("b_id")).select("a", "b", "a_set", "b_set")
+            for part in pieces_of(batch, 1024):
+                sets = [shingle_set(t.as_py(), size, words).view(np.int64) for t in part.column("text")]
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+        give_back()
+
+    found = texts.join(wanted, (F.col("id") == F.col("of_id")) & (F.col("key") == F.col("of_key"))).select("node", "text")
+    # Rows may repeat the one that stands for a class.
+    sets = materialize(found.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles")), "minhash-sets")
+    left, right = (sets.select(F.col("node").alias(f"{x}_node"), F.col("shingles").alias(f"{x}_set")) for x in "ab")
+    both = pairs.join(left, F.col("a") == F.col("a_node")).join(right, F.col("b") == F.col("b_node")).select("a", "b", "a_set", "b_set")
     return materialize(both.mapInArrow(_compare, "a long, b long, both long, n_a long, n_b long, plus array<long>, minus array<long>"), "minhash-verified")
 
 
@@ -203,6 +237,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [part.column("a"), part.column("b"), pa.array(both, pa.int64()), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(list(plus), longs), pa.array(list(minus), longs)],
                 ["a", "b", "both", "n_a", "n_b", "plus", "minus"],
             )
+    give_back()
 
 
 def late_links(tried: DataFrame, label: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
@@ -278,7 +313,14 @@ def _late(x: pa.Table, y: pa.Table, threshold: int) -> pa.Table:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each component, the least id; all columns."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    lost = found.where(~F.col("kept")).select(F.col(id_col).alias("__lost")).distinct()
-    return docs.join(lost, docs[id_col] == lost["__lost"], "left_anti")
+    """The rows of ``docs`` that stay: of each group of linked texts the rows with the least id (of several such texts the one of least digest); all columns.
+
+    Here texts are linked, not ids: a row goes only if its own text is linked
+    with the one that stays, so an id's other texts are kept. Rows without an id and empty texts stay.
+    """
+    marked, classes = set_classes(docs, id_col, text_col, join_ids=False, **options)
+    best = classes.groupBy("label").agg(F.min(F.struct("rep", "set")).alias("best"))
+    stays = classes.join(best.withColumnRenamed("label", "of"), F.col("label") == F.col("of")).select(F.col("set").alias("of_set"), F.col("best.rep").alias("keep_id"), F.col("best.set").alias("keep_set"))
+    placed = marked.where("id IS NOT NULL AND set IS NOT NULL").join(stays, F.col("set") == F.col("of_set"))
+    lost = placed.where((F.col("id") != F.col("keep_id")) | (F.col("set") != F.col("keep_set"))).select(F.col("id").alias("__lost"), F.col("key").alias("__key")).distinct()
+    return docs.join(lost, (docs[id_col] == lost["__lost"]) & (_key(docs[text_col]) == lost["__key"]), "left_anti")

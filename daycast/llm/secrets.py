@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daycast.llm.common import give_back
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: Hex runs of the least length: the same as all runs less the short ones.
@@ -147,6 +149,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", to: str = "secret_span
             for i in pc.indices_nonzero(may_hold(texts)).to_pylist():
                 found[i] = [{"kind": k, "start": a, "end": b} for k, a, b in scan_text(texts[i].as_py(), encode, max_ratio)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, spans)], [*batch.schema.names, to])
+        give_back()
 
     return docs.select(*kept).mapInArrow(run, schema)
 
@@ -172,6 +175,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET
                 texts = pa.array(new, texts.type)
             columns = [texts if n == text_col else c for n, c in zip(batch.schema.names, batch.columns) if n != spans]
             yield pa.RecordBatch.from_arrays(columns, [n for n in batch.schema.names if n != spans])
+        give_back()
 
     out = found.mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:

@@ -109,3 +109,30 @@ def test_components_of_paths_and_stars(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(300, 341)} == {5}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_of_one_id_link_it(frame, make_text):
+    a, b, c, d = (make_text(i, 40) for i in range(4))
+    rows = [(1, a), (2, b), (3, a), (3, b), (3, c), (4, d), (5, ""), (5, d + " more"), (6, None), (6, None), (7, c), (7, " ")]
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(frame(rows)).collect())
+    assert got == [(1, 1, True), (2, 1, False), (3, 1, False), (3, 1, False), (3, 1, False), (4, 4, True), (5, 4, False), (5, 4, False),
+                   (6, 6, True), (6, 6, True), (7, 1, False), (7, 1, False)]
+
+
+def test_an_ids_other_texts_stay(frame, make_text):
+    a, c, d = (make_text(i, 40) for i in range(3))
+    rows = [(1, a), (3, a.upper()), (3, c), (3, c + " tail"), (8, c), (2, d + " x"), (2, d), (None, a), (3, "")]
+    left = minhash.drop_near_duplicates(frame(rows)).collect()
+    kept = sorted((r["doc_id"] or -1, r["text"]) for r in left)
+    assert (-1, a) in kept and (1, a) in kept and (3, "") in kept and (3, a.upper()) not in kept
+    assert sum(r[1].startswith(c) for r in kept) == 1 and sum(r[1].startswith(d) for r in kept) == 1
+    assert len(kept) == 5 and all(i == 3 for i, t in kept if t.startswith(c))
+
+
+def test_repeated_representatives_are_one_set(frame, make_text):
+    base = make_text(9, 60)
+    rows = [(1, base)] * 30 + [(2, base + " tail")] * 20 + [(3, base + " other end")]
+    got = minhash.near_duplicates(frame(rows).repartition(3)).collect()
+    assert len(got) == 51 and {r["component_id"] for r in got} == {1}
+    marked, classes = minhash.set_classes(frame(rows))
+    assert classes.count() == 3

@@ -18,6 +18,7 @@ def test_stages_take_effect_and_keep_clean_documents(spark, make_text):
         (104, "12345 !!", "en", "s", 1),
         (105, None, "en", "s", 1),
         (5, clean[5][1], "en", "s", 1),  # a repeated row
+        (101, make_text(700, 50), "en", "s", 1),  # another text of an id whose first text goes
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = {}
@@ -29,10 +30,11 @@ def test_stages_take_effect_and_keep_clean_documents(spark, make_text):
             assert now.columns == docs.columns
     ids = {k: sorted(r["doc_id"] for r in v.select("doc_id").collect()) for k, v in kept.items()}
     assert ids["language_id"] == sorted([r[0] for r in rows if r[0] not in (104, 105)])
-    assert ids["exact_dedup"] == sorted([*range(1, 30), 100, 101, 102, 103])
-    assert ids["minhash_near_dedup"] == sorted([*range(1, 30), 100, 103])
+    assert ids["exact_dedup"] == sorted([*range(1, 30), 100, 101, 101, 102, 103])
+    assert ids["minhash_near_dedup"] == sorted([*range(1, 30), 100, 101, 103])
     assert ids["secret_scan"] == ids["minhash_near_dedup"]
     texts = {r["doc_id"]: r["text"] for r in kept["secret_scan"].collect()}
+    assert texts[101] == make_text(700, 50)
     assert texts[103].startswith("[SECRET] ") and all(texts[i] == clean[i][1] for i in range(1, 30))
     assert sorted(set(ids["packing"])) == ids["secret_scan"]
 
@@ -60,7 +62,7 @@ def test_pipeline_equals_the_operators_on_a_table(spark):
     tokens = Tokens()
     for r in got:
         text = left[r["doc_id"]]
-        spans = [(a, b) for k, a, b in secrets.scan_text(text, tokens.encode) if k != "hex"]
+        spans = secrets.to_mask(text, secrets.scan_text(text, tokens.encode))
         assert r["sum(length)"] == len(tokens.ids(secrets.masked(text, spans, "[SECRET]"))) + 1
 
 
@@ -83,4 +85,4 @@ def test_all_queries_are_registered():
     import __spark_entry__ as e
 
     names = [k for k in e.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in e.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in e.queries()
