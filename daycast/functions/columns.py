@@ -99,9 +99,9 @@ def round_half_even(c, decimals: int = 0) -> Column:
 def clip(c, lo=None, hi=None) -> Column:
     out = _c(c)
     if lo is not None:
-        out = F.greatest(out, F.lit(float(lo)))
+        out = F.greatest(out, lo if isinstance(lo, Column) else F.lit(float(lo)))
     if hi is not None:
-        out = F.least(out, F.lit(float(hi)))
+        out = F.least(out, hi if isinstance(hi, Column) else F.lit(float(hi)))
     return out
 
 

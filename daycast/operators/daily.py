@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from daycast import schema as S
 from daycast.functions import columns as C
 from daycast.operators.keys import join_series
-from daycast.operators.prepare import column_medians, enrich_visits, require_columns
+from daycast.operators.prepare import column_medians, enrich_visits, held, require_columns
 from daycast.session import materialize
 
 V = S.VISIT_COLUMNS
@@ -37,12 +37,12 @@ def aggregate_daily(visits: DataFrame, group_cols=(), names: dict[str, str] | No
     arrival day are in no row; ``prepare.visit_quality`` counts them.
 
     ``impute=True`` gives the daily means of the measures with missing values
-    replaced by the series' median (E1's imputation) without a second pass
-    over the visits when nothing is missing: the aggregate keeps per-day
-    sums, counts and null counts, the medians are computed only for columns
-    that have nulls, and each day's mean becomes (sum + nulls * median) /
-    (count + nulls). The aggregate (days x series rows) is written to the
-    shared folder once, since every later step reads it.
+    replaced by the series' median (E1's imputation). The visits are read once:
+    their day, keys and measures are cached while the aggregate and the medians
+    are made. The aggregate keeps per-day sums, counts and null counts, the
+    medians are computed only for columns that have nulls, and each day's mean
+    becomes (sum + nulls * median) / (count + nulls). The aggregate (days x
+    series rows) is written to the shared folder once, since every later step reads it.
     """
     v = {**V, **(names or {})}
     require_columns(visits, [v["patient"], v["arrival"]], strict=True)
@@ -59,34 +59,32 @@ def aggregate_daily(visits: DataFrame, group_cols=(), names: dict[str, str] | No
                      F.count_if(F.col(src).isNull()).alias(f"_k_{out}")]
         else:
             aggs.append(F.avg(src).alias(out))
-    daily = (
-        visits.where(day.isNotNull())
-        .groupBy(*group_cols, day.alias(S.DATE))
-        .agg(*aggs)
-    )
-    if impute and measures:
-        daily = materialize(daily, "daily")
+    if not (impute and measures):
+        daily = visits.where(day.isNotNull()).groupBy(*group_cols, day.alias(S.DATE)).agg(*aggs)
+        return daily.withColumns(C.calendar_columns(S.DATE))
+    used = [v["patient"], *[f for f in ("isEmergency", "needsICU") if f in have], *[src for src, _ in measures]]
+    with held(visits.select(*group_cols, day.alias("_day"), *[c for c in dict.fromkeys(used) if c not in group_cols])) as narrow:
+        daily = materialize(narrow.where(F.col("_day").isNotNull()).groupBy(*group_cols, F.col("_day").alias(S.DATE)).agg(*aggs), "daily")
         nulls = daily.agg(*[F.sum(f"_k_{out}").alias(out) for _, out in measures]).first()
         need = [src for src, out in measures if (nulls[out] or 0) > 0]
         if need:
-            medians = column_medians(visits, need, approx, group_cols=group_cols)
+            medians = column_medians(narrow, need, approx, group_cols=group_cols)
             named = medians.select(*group_cols, *[F.col(c).alias(f"_m_{c}") for c in need])
             if group_cols:
-                daily = join_series(daily, named, group_cols)
+                daily = join_series(daily, materialize(named, "medians"), group_cols)
             else:
                 row = named.first()
                 daily = daily.withColumns({c: F.lit(row[c]).cast("double") for c in named.columns})
-        means = {}
-        for src, out in measures:
-            s_, c_, k_ = F.coalesce(F.col(f"_s_{out}"), F.lit(0.0)), F.col(f"_c_{out}").cast("double"), F.col(f"_k_{out}").cast("double")
-            plain = F.when(c_ > 0, s_ / c_)
-            if src in need:
-                m = F.col(f"_m_{src}")
-                means[out] = F.when(m.isNotNull() & (c_ + k_ > 0), (s_ + k_ * m) / (c_ + k_)).otherwise(plain)
-            else:
-                means[out] = plain
-        daily = daily.withColumns(means).drop(*[f"_m_{c}" for c in need])
-        daily = daily.drop(*[f"_{p}_{out}" for _, out in measures for p in "sck"])
+    means = {}
+    for src, out in measures:
+        s_, c_, k_ = F.coalesce(F.col(f"_s_{out}"), F.lit(0.0)), F.col(f"_c_{out}").cast("double"), F.col(f"_k_{out}").cast("double")
+        plain = F.when(c_ > 0, s_ / c_)
+        if src in need:
+            m = F.col(f"_m_{src}")
+            means[out] = F.when(m.isNotNull() & (c_ + k_ > 0), (s_ + k_ * m) / (c_ + k_)).otherwise(plain)
+        else:
+            means[out] = plain
+    daily = daily.withColumns(means).drop(*[f"_m_{c}" for c in need], *[f"_{p}_{out}" for _, out in measures for p in "sck"])
     return daily.withColumns(C.calendar_columns(S.DATE))
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
@@ -11,7 +13,8 @@ from pyspark.sql.types import NumericType, StringType
 from daycast import schema as S
 from daycast.functions import columns as C
 from daycast.operators.keys import join_series
-from daycast.operators.quantiles import exact_quantiles, modes
+from daycast.operators.quantiles import modes_of, quantiles_of, sketches
+from daycast.session import local_frame, materialize
 
 log = logging.getLogger(__name__)
 
@@ -88,26 +91,22 @@ def columns_with_nulls(df: DataFrame, cols) -> list[str]:
     return [c for c in cols if row[c]]
 
 
-def column_medians(df: DataFrame, cols, approx: bool = False, accuracy: int = 10_000, group_cols=()) -> DataFrame | None:
+def column_medians(df: DataFrame, cols, approx: bool = False, accuracy: int = 10_000, group_cols=(), sketch=None) -> DataFrame | None:
     """Medians of ``cols`` per series, one row per series (``group_cols`` and one column each).
 
     Exact medians interpolate linearly; ``approx=True`` takes the sketch's value.
+    All columns share the passes of ``quantiles.quantiles_of``.
     """
     g, cols = list(group_cols), list(cols)
     if not cols:
         return None
     if approx:
         return df.groupBy(*g).agg(*[F.percentile_approx(c, 0.5, accuracy).cast("double").alias(c) for c in cols])
-    out = None
-    for c in cols:
-        one = exact_quantiles(df, c, [0.5], g, accuracy).select(*g, F.col("q")[0].alias(c))
-        if out is None:
-            out = one
-        elif g:
-            out = join_series(out, one, g)
-        else:
-            out = out.withColumn(c, F.lit(one.first()[c]).cast("double"))
-    return out
+    found = quantiles_of(df, cols, [0.5], g, accuracy, sketch)
+    if not g:
+        medians = {r["col"]: r["q"][0] for r in found.collect()}
+        return local_frame(df.sparkSession, dict.fromkeys(cols, "double"), [[medians[c] for c in cols]])
+    return found.groupBy(*g).agg(*[F.max(F.when(F.col("col") == c, F.col("q")[0])).alias(c) for c in cols])
 
 
 def _filled(df: DataFrame, cols, fills: DataFrame, group_cols) -> DataFrame:
@@ -115,32 +114,83 @@ def _filled(df: DataFrame, cols, fills: DataFrame, group_cols) -> DataFrame:
     g = list(group_cols)
     if not g:
         row = fills.first()
+        if row is None:
+            return df
         return df.withColumns({c: F.coalesce(F.col(c), F.lit(row[c]).cast(df.schema[c].dataType)) for c in cols if row[c] is not None})
     named = fills.select(*g, *[F.col(c).alias(f"__fill_{c}") for c in cols])
     out = join_series(df, named, g)
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"__fill_{c}").cast(df.schema[c].dataType)) for c in cols}).select(*df.columns)
 
 
+@contextmanager
+def held(df: DataFrame):
+    """``df`` cached while statistics that take several passes are made of it.
+
+    Cache a narrow selection: the source is then read once, whatever the number of
+    passes. Partitions of a lost executor are computed again.
+    """
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
+def _kept(fills: DataFrame, group_cols) -> DataFrame:
+    """Small statistics made final while their source is cached: a written table, or without series keys a local row."""
+    if group_cols:
+        return materialize(fills, "fills")
+    return fills.sparkSession.createDataFrame(fills.toArrow())
+
+
 def impute_median(df: DataFrame, cols, approx: bool = False, accuracy: int = 10_000, group_cols=()) -> DataFrame:
     """P10: nulls of numeric ``cols`` take the column's median of the same series.
 
-    Columns without a null are left alone after one counting pass. A series
-    without any value keeps its nulls.
+    ``df`` is read once for the statistics, whatever the number of columns: the
+    keys and ``cols`` are cached, sketched together with their null counts, and
+    only columns with a null are ranked. A series without any value keeps its nulls.
     """
-    need = columns_with_nulls(df, cols)
-    if not need:
+    g, cols = list(group_cols), list(cols)
+    if not cols:
         return df
-    return _filled(df, need, column_medians(df, need, approx, accuracy, group_cols), group_cols)
+    with held(df.select(*dict.fromkeys([*g, *cols]))) as narrow:
+        if approx:
+            need = columns_with_nulls(narrow, cols)
+            if not need:
+                return df
+            fills = _kept(column_medians(narrow, need, True, accuracy, g), g)
+        else:
+            sketch = sketches(narrow, cols, [0.5], g, accuracy)
+            if g:
+                sketch = materialize(sketch, "sketch")
+                nulls = sketch.agg(*[F.sum(F.col(f"_k{i}")["nulls"]) for i in range(len(cols))]).first()
+            else:
+                sketch = sketch.first()
+                nulls = [k["nulls"] for k in sketch]
+            places = [i for i in range(len(cols)) if nulls[i]]
+            need = [cols[i] for i in places]
+            if not need:
+                return df
+            sketch = sketch.select(*g, *[F.col(f"_k{i}").alias(f"_k{j}") for j, i in enumerate(places)]) if g else [sketch[i] for i in places]
+            fills = _kept(column_medians(narrow, need, False, accuracy, g, sketch), g)
+    return _filled(df, need, fills, g)
 
 
 def impute_mode(df: DataFrame, cols, group_cols=()) -> DataFrame:
-    """Nulls take the most frequent value of the same series; the smallest one on ties."""
-    out = df
-    for c in columns_with_nulls(df, cols):
-        fill = modes(df, c, group_cols).withColumnRenamed("mode", c)
-        if group_cols or fill.first() is not None:
-            out = _filled(out, [c], fill, group_cols)
-    return out
+    """Nulls take the most frequent value of the same series; the smallest one on ties.
+
+    ``df`` is read once: the keys and ``cols`` are cached, and the columns with a
+    null are counted by value together.
+    """
+    g, cols = list(group_cols), list(cols)
+    if not cols:
+        return df
+    with held(df.select(*dict.fromkeys([*g, *cols]))) as narrow:
+        need = columns_with_nulls(narrow, cols)
+        if not need:
+            return df
+        fills = _kept(modes_of(narrow, need, g), g)
+    return _filled(df, need, fills, g)
 
 
 def impute_by_type(df: DataFrame, exclude=(S.DATE,), approx: bool = False, group_cols=()) -> DataFrame:

@@ -253,41 +253,49 @@ def q_zscore(spark, sf_dir):
     return rounded(out.select(S.DATE, "zscore"))
 
 
-# The overlay queries' own factors.
-MONTH_FACTORS = {12: 1.3, 1: 1.3, 2: 1.3, 6: 0.9, 7: 0.9, 8: 0.9}
-WEEKDAY_FACTORS = {0: 1.1, 5: 0.8, 6: 0.8}
-OVERLAY = {"adm_factor": 1.5, "occ_factor": 1.2}
+def q_calendar_factor(spark, sf_dir):
+    """Each month's and weekday's share of the series' mean, at most 19 numbers, as the factors of all days."""
+    f = orders_features(spark, sf_dir)
+    found = {}
+    for r in SC.calendar_means(f).collect():
+        found.setdefault(r["part"], {})[r["key"]] = r["factor"]
+    out = SC.calendar_scale(f, C.calendar_factor(S.DATE, found["month"], found["weekday"]))
+    return rounded(out.select(S.DATE, "calendarFactor", "scenarioAdmissions"))
 
 
-def overlay_calendar():
-    return C.calendar_factor(S.DATE, MONTH_FACTORS, WEEKDAY_FACTORS)
+def q_calendar_factor_events(spark, sf_dir):
+    """P19 for many series, each with the factors of its own days."""
+    f = SC.observed_factor(events_features(spark, sf_dir), group_cols=EVENT_SERIES)
+    out = SC.calendar_scale(f, F.col("calendarFactor"))
+    return rounded(out.select(*EVENT_SERIES, S.DATE, "calendarFactor", "scenarioAdmissions"))
 
 
-def q_calendar_factor(spark, sf_dir):
-    out = SC.calendar_scale(orders_features(spark, sf_dir), overlay_calendar())
-    return rounded(out.select(S.DATE, "calendarFactor", "scenarioAdmissions"))
+def with_peak_factors(features: DataFrame, group_cols=()) -> DataFrame:
+    """The features with their series' alert threshold and the factors of the days that reach it."""
+    f = with_admission_threshold(materialize(features, "features"), group_cols)
+    return M.attach_stats(f, SC.peak_factors(f, "threshold", group_cols=group_cols), group_cols)
 
 
-def peak_days(features: DataFrame, group_cols=()) -> DataFrame:
-    f = with_admission_threshold(features, group_cols)
-    return SC.peak_intervals(f, S.ADMISSIONS, "threshold", 7, group_cols)
+def uplifted(series: DataFrame, group_cols=()) -> DataFrame:
+    intervals = SC.peak_intervals(series, S.ADMISSIONS, "threshold", 7, group_cols)
+    return SC.interval_uplift(series, intervals, F.col("adm_factor"), F.col("occ_factor"), F.col("hi"), group_cols)
 
 
 def q_interval_uplift(spark, sf_dir):
-    f = orders_features(spark, sf_dir)
-    out = SC.interval_uplift(f, peak_days(f), **OVERLAY, occ_cap=100.0)
+    out = uplifted(with_peak_factors(orders_features(spark, sf_dir)))
     return rounded(out.select(S.DATE, "peaks", "totalAdmissionsPeak", "avgOccupancyRatePeak"))
 
 
 def q_interval_uplift_events(spark, sf_dir):
-    f = events_features(spark, sf_dir)
-    out = SC.interval_uplift(f, peak_days(f, EVENT_SERIES), **OVERLAY, occ_cap=100.0, group_cols=EVENT_SERIES)
+    out = uplifted(with_peak_factors(events_features(spark, sf_dir), EVENT_SERIES), EVENT_SERIES)
     return rounded(out.select(*EVENT_SERIES, S.DATE, "peaks", "totalAdmissionsPeak", "avgOccupancyRatePeak"))
 
 
 def q_scenario(spark, sf_dir):
-    f = orders_features(spark, sf_dir)
-    out = SC.scenario(f, peak_days(f), overlay_calendar(), **OVERLAY, lo=50.0, hi=100.0, k=3.0)
+    """E8 with the series' own calendar, peaks, bounds and spread."""
+    f = SC.observed_factor(with_peak_factors(orders_features(spark, sf_dir)))
+    intervals = SC.peak_intervals(f, S.ADMISSIONS, "threshold", 7)
+    out = SC.scenario(f, intervals, *[F.col(c) for c in ("calendarFactor", "adm_factor", "occ_factor", "lo", "hi", "spread")])
     return rounded(out.select(S.DATE, "scenarioAdmissions", "scenarioOccupancy", "peaks",
                               "scenarioAdmissionsPeak", "scenarioOccupancyPeak"))
 
@@ -329,6 +337,7 @@ QUERIES.update({
     "residual_density_events": q_residual_density_events,
     "zscore": q_zscore,
     "calendar_factor": q_calendar_factor,
+    "calendar_factor_events": q_calendar_factor_events,
     "interval_uplift": q_interval_uplift,
     "interval_uplift_events": q_interval_uplift_events,
     "scenario": q_scenario,

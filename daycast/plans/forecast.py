@@ -4,23 +4,35 @@ The forecast keeps **one state row per series**: the last seven actuals of
 each target and the predictions made so far (array columns). Each horizon
 step derives that day's features from the state with array expressions,
 scores every series at once with both fitted pipelines, and appends the
-predictions. The driver only loops over horizon steps; every step is a
-distributed scan, and the state is written into the shared checkpoint folder
-every few steps so the plan does not grow with the horizon.
+predictions.
+
+Fitted tree ensembles are walked as flat node arrays (``plans.trees``): all steps
+of a batch of series run in one Arrow function, so a forecast is one pass over
+the seed rows whatever the horizon. For other fitted pipelines the driver loops
+over the steps; every step is a distributed scan, and the state is written into
+the shared checkpoint folder every few steps so the plan does not grow with the horizon.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StandardScalerModel, VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daycast import schema as S
 from daycast.functions import columns as C
 from daycast.operators.daily import series_window, tail_by_date
 from daycast.operators.prepare import entry_default
 from daycast.plans.models import PRED_ADM, PRED_OCC, ForecastModel, predict
+from daycast.plans.trees import flat_trees
 from daycast.session import materialize
 
 HISTORY_DAYS = S.MA_WINDOW
@@ -123,6 +135,9 @@ def forecast_recursive(model: ForecastModel, history: DataFrame, days: int = 30,
     if lag_mode not in ("reference", "history"):
         raise ValueError("lag_mode must be 'reference' or 'history'")
     g = list(group_cols)
+    scorers = [tree_scorer(m) for m in (model.admission_model, model.occupancy_model)]
+    if all(scorers):
+        return model.flagged(forecast_trees(forecast_seed(history, g, date_col), scorers, int(days), g, lag_mode))
     state = forecast_seed(history, g, date_col).withColumns({
         "p_adm": F.array().cast("array<double>"),
         "p_occ": F.array().cast("array<double>"),
@@ -168,6 +183,138 @@ def forecast_recursive(model: ForecastModel, history: DataFrame, days: int = 30,
     return model.flagged(state.select(*g, F.inline("steps")))
 
 
+class TreeScorer:
+    """A fitted assembler, scaler and tree ensemble, scored on numpy columns."""
+
+    def __init__(self, features, center, scale, flat, mean: bool):
+        self.features, self.center, self.scale, self.flat, self.mean = features, center, scale, flat, mean
+
+    def predict(self, columns: dict[str, np.ndarray]) -> np.ndarray:
+        x = np.column_stack([columns[f] for f in self.features])
+        if np.isnan(x).any():
+            bad = [f for f, c in zip(self.features, x.T) if np.isnan(c).any()]
+            raise ValueError(f"missing values in {', '.join(bad)}")
+        values = self.flat.values((x - self.center) * self.scale)[0]
+        # Summed in the order of the trees.
+        total = np.cumsum(values if self.mean else values * self.flat.weights, axis=1)[:, -1]
+        return total / values.shape[1] if self.mean else total
+
+
+def tree_scorer(pipeline: PipelineModel) -> TreeScorer | None:
+    """The scorer of a pipeline of ``models.scaled_pipeline``; None for any other."""
+    stages = getattr(pipeline, "stages", [])
+    kinds = (VectorAssembler, StandardScalerModel, (RandomForestRegressionModel, GBTRegressionModel))
+    if len(stages) != 3 or not all(isinstance(s, k) for s, k in zip(stages, kinds)):
+        return None
+    known = getattr(pipeline, "_tree_scorer", None)
+    if known is None:
+        assembler, scaler, trees = stages
+        std = scaler.std.toArray()
+        scale = np.divide(1.0, std, out=np.zeros_like(std), where=std != 0) if scaler.getWithStd() else np.ones_like(std)
+        center = scaler.mean.toArray() if scaler.getWithMean() else np.zeros_like(std)
+        known = TreeScorer(assembler.getInputCols(), center, scale, flat_trees(trees), isinstance(trees, RandomForestRegressionModel))
+        pipeline._tree_scorer = known
+    return known
+
+
+def _right_aligned(lists: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(values, sizes) of a list column, each list at the right end of its row; nulls are NaN."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(float)
+    out = np.full((len(sizes), width), np.nan)
+    ends = np.cumsum(sizes)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    out[row, width - np.repeat(ends, sizes) + np.arange(len(flat))] = flat
+    return out, sizes
+
+
+def _ordered_mean(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Mean of the last ``sizes`` values of each row, added up from the oldest."""
+    total, width = np.zeros(len(values)), values.shape[1]
+    for j in range(width):
+        total = np.where(width - j <= sizes, total + values[:, j], total)
+    return total / sizes
+
+
+def _lags(actual: np.ndarray, sizes: np.ndarray, made: list[np.ndarray], lag_mode: str) -> dict[str, np.ndarray]:
+    """:func:`_step_lags` on arrays: ``actual`` holds each series' last values, ``made`` its predictions so far."""
+    week = S.MA_WINDOW
+    everything = np.column_stack([actual, *made]) if made else actual
+    total = sizes + len(made)
+    if lag_mode == "history" or not made:
+        have, back = total, everything
+        window = np.minimum(total, week) if lag_mode == "history" else sizes
+    else:
+        have, back = np.full(len(sizes), min(len(made), week)), everything
+        window = np.minimum(total, week)
+    lag1 = back[:, -1]
+    out = {"lag1": lag1}
+    for n in (3, 7):
+        out[f"lag{n}"] = np.where(have >= n, back[:, -n], lag1) if back.shape[1] >= n else lag1
+    out["ma"] = _ordered_mean(everything[:, -week:], window)
+    return out
+
+
+def _calendar(days: np.ndarray) -> dict[str, np.ndarray]:
+    """``columns.calendar_columns`` of numpy days."""
+    month = days.astype("datetime64[M]")
+    m = month.astype(int) % 12 + 1
+    weekday = (days.astype(int) + 3) % 7  # 1970-01-01 was a Thursday
+    seasons = {"isSummer": S.SUMMER_MONTHS, "isWinter": S.WINTER_MONTHS, "isSpring": S.SPRING_MONTHS, "isFall": S.FALL_MONTHS}
+    return {
+        "year": days.astype("datetime64[Y]").astype(int) + 1970, "month": m, "dayOfMonth": (days - month).astype(int) + 1,
+        "dayOfWeek": weekday, "isWeekend": (weekday >= 5).astype(int),
+        **{k: np.isin(m, v).astype(int) for k, v in seasons.items()},
+    }
+
+
+def forecast_trees(seed: DataFrame, scorers: list[TreeScorer], days: int, group_cols=(), lag_mode: str = "reference") -> DataFrame:
+    """The rows of :func:`forecast_recursive` without flags, for tree ensembles: one pass over :func:`forecast_seed` rows.
+
+    A batch of series is stepped through the horizon together, a chunk of rows at a time.
+    """
+    g = list(group_cols)
+    types = {"date": T.DateType(), "int": T.IntegerType(), "double": T.DoubleType()}
+    arrow = {"date": pa.date32(), "int": pa.int32(), "double": pa.float64()}
+    schema = T.StructType([seed.schema[c] for c in g] + [T.StructField(f, types[_field_type(f)]) for f in STEP_FIELDS])
+    adm, occ = scorers
+    chunk = 2048
+
+    def stepped(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n = batch.num_rows
+        last = batch.column("last_date").to_numpy(zero_copy_only=False).astype("datetime64[D]")
+        if np.isnat(last).any():
+            raise ValueError("a series without a date has no next day")
+        a, a_size = _right_aligned(batch.column("y_adm"), S.MA_WINDOW)
+        o, o_size = _right_aligned(batch.column("y_occ"), S.MA_WINDOW)
+        p_adm, p_occ, steps = [], [], []
+        for step in range(1, days + 1):
+            now = last + step
+            la, lo = _lags(a, a_size, p_adm, lag_mode), _lags(o, o_size, p_occ, lag_mode)
+            row = {S.DATE: now, **_calendar(now)}
+            for name, made in (("admissions", la), ("occupancy", lo)):
+                row |= {f"{name}Lag{k}": made[f"lag{k}"] for k in (1, 3, 7)}
+                row[f"{name}MA7"] = row[f"{name}MA7Prev"] = made["ma"]
+            for f in {*adm.features, *occ.features} - row.keys():
+                row[f] = np.full(n, entry_default(f))
+            row[PRED_ADM], row[PRED_OCC] = adm.predict(row), occ.predict(row)
+            p_adm.append(row[PRED_ADM])
+            p_occ.append(row[PRED_OCC])
+            steps.append(row)
+        # Row by row: series by series, its days in order.
+        of = np.repeat(np.arange(n), days)
+        keys = [batch.column(c).take(pa.array(of)) for c in g]
+        values = [pa.array(np.stack([s[f] for s in steps], axis=1).ravel(), arrow[_field_type(f)]) for f in STEP_FIELDS]
+        return pa.RecordBatch.from_arrays(keys + values, [*g, *STEP_FIELDS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, chunk):
+                yield stepped(batch.slice(at, chunk))
+
+    return seed.mapInArrow(run, schema)
+
+
 def _field_type(name: str) -> str:
     if name == S.DATE:
         return "date"

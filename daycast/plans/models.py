@@ -23,6 +23,7 @@ from daycast import schema as S
 from daycast.operators import alerts as AL
 from daycast.operators import metrics as M
 from daycast.operators.keys import join_series
+from daycast.plans.trees import truncated
 
 # maxBins: candidate split points per feature; raise it for finer splits (time and memory grow with it).
 ADMISSION_PARAMS = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 4, "maxBins": 64, "seed": 42}
@@ -75,18 +76,16 @@ def admissions_regressor(label: str = S.ADMISSIONS, prediction: str = PRED_ADM,
 
 
 def occupancy_regressor(label: str = S.OCCUPANCY, prediction: str = PRED_OCC, **params) -> RandomForestRegressor:
-    """M3's estimator: a forest using every feature at each split.
+    """M3's estimator: a forest using every feature at each split, grown to leaves of one row.
 
-    ``maxDepth=None`` means the deepest tree Spark allows; a minimum split size
-    m becomes ``minInstancesPerNode = max(1, m // 2)`` (each child of a split
-    of m rows keeps at least m // 2 of them).
+    ``maxDepth=None`` means the deepest tree Spark allows. A minimum split size
+    is applied to the grown trees (see :func:`fit_occupancy`).
     """
     p = {**OCCUPANCY_PARAMS, **params}
     # cacheNodeIds / maxMemoryInMB only change how deep trees are grown
     # (fewer passes over the data), not the fitted trees.
     return RandomForestRegressor(labelCol=label, predictionCol=prediction, numTrees=int(p["numTrees"]),
                                  maxDepth=_depth(p["maxDepth"]), maxBins=int(p["maxBins"]), featureSubsetStrategy="all",
-                                 minInstancesPerNode=max(1, int(p["min_samples_split"]) // 2),
                                  seed=int(p["seed"]), cacheNodeIds=True, maxMemoryInMB=1024)
 
 
@@ -97,9 +96,18 @@ def fit_admissions(df: DataFrame, features, label: str = S.ADMISSIONS, **params)
 
 
 def fit_occupancy(df: DataFrame, features, label: str = S.OCCUPANCY, **params) -> PipelineModel:
-    """M3. ``max_fit_rows`` bounds the rows used, ``min_samples_split`` the leaves' least size."""
+    """M3. ``max_fit_rows`` bounds the rows used.
+
+    ``min_samples_split``: no node of fewer rows is split. With every feature
+    tried at each split it only ends growth, so the grown trees are cut there.
+    Rows are counted as a tree draws them: one drawn twice counts twice.
+    """
     limit = params.pop("max_fit_rows", MAX_FIT_ROWS)
-    return scaled_pipeline(features, occupancy_regressor(label, **params), "occ").fit(fit_rows(df, limit))
+    least = int(params.get("min_samples_split", OCCUPANCY_PARAMS["min_samples_split"]))
+    fitted = scaled_pipeline(features, occupancy_regressor(label, **params), "occ").fit(fit_rows(df, limit))
+    if least <= 2:  # a node of one row has nothing to split
+        return fitted
+    return PipelineModel(stages=[*fitted.stages[:-1], truncated(fitted.stages[-1], least=least)])
 
 
 @dataclass

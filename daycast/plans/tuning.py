@@ -3,18 +3,23 @@
 Spark's ``CrossValidator`` trains each fold on all *other* folds, which would
 let a model see the future of a time series. Here every fold trains on the
 rows before its test block (W8). The labelled table is ranked once and
-persisted; each fold is two filters on it; candidate fits run concurrently
-from a small thread pool (each fit is itself a distributed Spark job).
+persisted; a fold's rows are assembled and scaled once for all its candidates.
+
+Candidates that only stop growth earlier share one fit (see ``plans.trees``): a
+forest with the most trees, the deepest limit and no least split size answers for
+every smaller forest, and the longest boosting run for every shorter one. Fits run
+concurrently from a small thread pool, the longest first, each a distributed Spark ML job.
 """
 
 from __future__ import annotations
 
 import itertools
 import json
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import SparkContext, StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +28,7 @@ from daycast import schema as S
 from daycast.operators import metrics as M
 from daycast.operators.splits import fold_frames, time_series_folds
 from daycast.plans import models as MD
+from daycast.plans import trees as TR
 
 ADMISSION_GRID = {"maxIter": [50, 100, 200], "stepSize": [0.05, 0.1, 0.2], "maxDepth": [3, 4, 5]}
 OCCUPANCY_GRID = {"numTrees": [50, 100, 200], "maxDepth": [None, 10, 20], "min_samples_split": [2, 5, 10]}
@@ -41,7 +47,6 @@ def param_grid(grid: dict) -> list[dict]:
 #: Parameters of which a larger fit holds the smaller ones: boosting rounds, and trees of a forest.
 PREFIX = {"admissions": "maxIter", "occupancy": "numTrees"}
 
-
 #: Daily rows per partition while tuning: many small fits run side by side, each with few tasks.
 PART_ROWS = 20_000
 
@@ -53,23 +58,58 @@ def _labelled(df: DataFrame, n_splits: int, group_cols) -> DataFrame:
     return labelled.coalesce(max(1, parts)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _fold_mse(train: DataFrame, test: DataFrame, features, target: str, params: dict, sizes) -> list[float]:
-    """Test MSE of one fit, or of its first rounds or trees for every number in ``sizes``.
-
-    Round k only adds to the rounds before it, and the trees of a forest do not
-    depend on each other, so one fit with the most scores every smaller number.
+class _Fold:
+    """One fold's rows, assembled and scaled once, and the ensembles fitted on them."""
+
+    def __init__(self, labelled: DataFrame, number: int, features, target: str, largest: dict | None):
+        self.train, self.test = fold_frames(labelled, number)
+        self.features, self.label, self.target, self.largest = list(features), TARGETS[target][0], target, largest
+        self.lock, self.tables, self.fitted = threading.Lock(), None, {}
+
+    def scaled(self) -> tuple[DataFrame, DataFrame]:
+        """Cached (train, test): the scaled vector ``_x``, fitted on the training rows, and the label."""
+        if self.tables is None:
+            train = MD.fit_rows(self.train)
+            stages = MD.scaled_pipeline(self.features, MD.admissions_regressor(self.label), "fold").getStages()
+            scaler = Pipeline(stages=stages[:-1]).fit(train)
+            self.tables = tuple(scaler.transform(part).select(F.col("_fold_scaled").alias("_x"), F.col(self.label).cast("double").alias(self.label))
+                                .persist(StorageLevel.MEMORY_AND_DISK) for part in (train, self.test))
+        return self.tables
+
+    def trees(self, params: dict) -> TR.FlatTrees:
+        """The fitted ensemble of ``params``; a forest's is the one that holds the whole grid, fitted by the first to ask."""
+        if self.target == "occupancy":
+            grown = {**params, **(self.largest or {}), "min_samples_split": 2}
+            key = json.dumps(grown, sort_keys=True)
+            with self.lock:
+                if key not in self.fitted:
+                    model = MD.occupancy_regressor(self.label, **grown).setFeaturesCol("_x").fit(self.scaled()[0])
+                    self.fitted[key] = TR.flat_trees(model)
+                return self.fitted[key]
+        with self.lock:
+            train, _ = self.scaled()
+        return TR.flat_trees(MD.admissions_regressor(self.label, **params).setFeaturesCol("_x").fit(train))
+
+    def release(self) -> None:
+        for part in self.tables or ():
+            part.unpersist()
+
+
+def _fold_mse(fold: _Fold, test: DataFrame, features, target: str, params: dict, sizes) -> list[float]:
+    """Test MSE of one candidate, or of its first rounds or trees for every number in ``sizes``.
+
+    Round k only adds to the rounds before it. A forest's trees do not depend on
+    each other, and its depth and least split size are cuts of the fold's one
+    grown forest. One pass over the test rows scores every number.
     """
-    label, fit, pred, _ = TARGETS[target]
-    if sizes and target == "occupancy":
-        model = fit(train, features, label, **{**params, PREFIX[target]: max(sizes)})
-        scaled = PipelineModel(stages=list(model.stages[:-1])).transform(test)
-        return [_mse(first_trees(model.stages[-1], n).transform(scaled), target) for n in sizes]
-    if sizes:
-        model = fit(train, features, label, **{**params, PREFIX[target]: max(sizes)})
-        scaled = PipelineModel(stages=list(model.stages[:-1])).transform(test)
-        errors = model.stages[-1].evaluateEachIteration(scaled, "squared")
-        return [float(errors[n - 1]) for n in sizes]
-    return [_mse(fit(train, features, label, **params).transform(test), target)]
+    prefix = PREFIX[target]
+    wanted = [int(n) for n in sizes] if sizes else [int(params[prefix])]
+    flat = fold.trees({**params, prefix: max(wanted)})
+    limit = (params["maxDepth"], int(params["min_samples_split"])) if target == "occupancy" else (None, 0)
+    scores = TR.squared_errors(fold.scaled()[1], "_x", fold.label, flat, [limit], wanted, mean=target == "occupancy")
+    if not scores:
+        raise ValueError(f"fold without a row that has {fold.label} and a prediction")
+    return [scores[0, n][1] / scores[0, n][0] for n in wanted]
 
 
 def first_trees(forest: RandomForestRegressionModel, n: int) -> RandomForestRegressionModel:
@@ -85,12 +125,10 @@ def first_trees(forest: RandomForestRegressionModel, n: int) -> RandomForestRegr
     return small.setFeaturesCol(forest.getFeaturesCol()).setPredictionCol(forest.getPredictionCol())
 
 
-def _mse(scored: DataFrame, target: str) -> float:
-    label, _, pred, _ = TARGETS[target]
-    row = M.regression_metrics(scored, {target: (label, pred)}).where(F.col("metric") == "mse").first()
-    if row is None or row["value"] is None:
-        raise ValueError(f"fold without a row that has {label} and a prediction")
-    return float(row["value"])
+def _largest_forest(candidates: list[dict]) -> dict:
+    """Parameters of the forest that holds all ``candidates``."""
+    depths = [c["maxDepth"] for c in candidates]
+    return {"numTrees": max(int(c["numTrees"]) for c in candidates), "maxDepth": None if None in depths else max(depths)}
 
 
 def grid_search(df: DataFrame, features, target: str = "admissions", grid: dict | None = None,
@@ -105,26 +143,32 @@ def grid_search(df: DataFrame, features, target: str = "admissions", grid: dict
     grid = grid or (ADMISSION_GRID if target == "admissions" else OCCUPANCY_GRID)
     base = TARGETS[target][3]
     candidates = [{**base, **c} for c in param_grid(grid)]
-    prefix = PREFIX.get(target) if PREFIX.get(target) in grid else None
-    # One fit for all candidates that differ in the prefix parameter only.
-    fits: dict[str, list[int]] = {}
+    prefix = PREFIX[target] if PREFIX[target] in grid else None
+    # Candidates that differ in the prefix parameter only are scored together.
+    groups: dict[str, list[int]] = {}
     for ci, c in enumerate(candidates):
-        fits.setdefault(json.dumps({k: v for k, v in c.items() if k != prefix}, sort_keys=True), []).append(ci)
+        groups.setdefault(json.dumps({k: v for k, v in c.items() if k != prefix}, sort_keys=True), []).append(ci)
     labelled = _labelled(df, n_splits, group_cols)
+    folds = [_Fold(labelled, i, features, target, _largest_forest(candidates) if target == "occupancy" else None) for i in range(n_splits)]
     try:
-        folds = [fold_frames(labelled, i) for i in range(n_splits)]
-        tasks = [(members, fi) for members in fits.values() for fi in range(n_splits)]
+        def cost(task):  # deeper trees take more passes, later folds have more rows
+            members, fi = task
+            depth = MD._depth(candidates[members[0]]["maxDepth"])
+            return (fi + 1) * (depth + 1) if target == "admissions" else fi - n_splits * members[0]
+
+        tasks = sorted(((members, fi) for members in groups.values() for fi in range(n_splits)), key=cost, reverse=True)
 
         def run(task):
             members, fi = task
-            train, test = folds[fi]
             sizes = [candidates[ci][prefix] for ci in members] if prefix else None
-            errors = _fold_mse(train, test, features, target, candidates[members[0]], sizes)
+            errors = _fold_mse(folds[fi], folds[fi].test, features, target, candidates[members[0]], sizes)
             return [(ci, fi, mse) for ci, mse in zip(members, errors)]
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             scores = sorted(x for chunk in pool.map(run, tasks) for x in chunk)
     finally:
+        for fold in folds:
+            fold.release()
         labelled.unpersist()
     means = {}
     for ci, _, mse in scores:

@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -67,6 +68,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+_ARROW = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "array<double>": pa.list_(pa.float64())}
+
+
+def local_frame(spark: SparkSession, columns: dict[str, str], rows) -> DataFrame:
+    """A small frame that the plan itself holds: reading it takes no job. ``columns`` maps names to types."""
+    values = list(zip(*rows)) or [()] * len(columns)
+    return spark.createDataFrame(pa.table([pa.array(v, _ARROW[t]) for v, t in zip(values, columns.values())], names=list(columns)))
+
+
 def clear_tables(spark: SparkSession) -> int:
     """Delete the tables :func:`materialize` wrote in this application; returns their number.
 

@@ -10,7 +10,7 @@ from oracle_check import TABLES, digest
 SF = "/root/testdata/sf0.001"
 NAMES = ["build_daily_features", "build_daily_features_events", "impute_median", "alert_rows",
          "seasonal_pattern", "time_series_folds", "extended_metrics", "residual_density",
-         "interval_uplift", "scenario", "forecast_seed_events", "daily_updates_events",
+         "interval_uplift", "scenario", "calendar_factor_events", "forecast_seed_events", "daily_updates_events",
          "visit_quality", "impute_median_events", "iqr_threshold_events", "densify_daily_gappy", "random_split",
          "forecast_linear", "fold_metrics_naive", "csv_round_trip"]
 
@@ -43,5 +43,5 @@ def test_only_fitted_trees_go_without_an_oracle():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     plain = {k for k in q if k not in o and k != "pipeline" and not k.startswith("op")}
-    assert plain == {"train_metrics", "feature_importances", "predict", "forecast_job", "validate", "cross_validate", "grid_search",
+    assert plain == {"train_metrics", "feature_importances", "predict", "forecast_job", "validate", "cross_validate", "grid_search", "grid_search_occupancy",
                      "forecast_summary", "forecast_alerts", "history_with_forecast", "forecast_recursive", "forecast_events"}
