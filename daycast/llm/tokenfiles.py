@@ -15,9 +15,13 @@ files that a finished task reported are in the manifest.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -40,12 +44,14 @@ BATCH_SEQUENCES = 256
 FILE_TOKENS = 64 << 20
 #: Texts encoded together.
 STEP = 256
-#: Cached pieces of one worker; the cache starts anew beyond that.
-CACHE = 300_000
+#: Cached pieces of one worker; beyond that the half met first stays.
+CACHE = 500_000
 #: Longer pieces are not cached.
 LONG_PIECE = 48
 #: Pieces encoded in one call of the library.
-JOINED = 2000
+JOINED = 200
+#: A word of letters (of the Latin blocks, the same in all versions of Unicode) and punctuation after it.
+WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
 FILES = "block int, file int, path string, tokens long, documents long, sequences long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -56,32 +62,58 @@ class Encoder:
     The byte-level pattern never joins what stands before a single space to the
     space and what follows, so a piece can be encoded with the space before it
     alone; a text for which that does not hold (empty pieces, pieces with white
-    space at an edge) is encoded whole. Unknown pieces are encoded many at a
-    time, a carriage return between them, which is a token of its own there.
-    Special tokens' strings in a text are ordinary text.
+    space at an edge) is encoded whole. A word with punctuation after it is one
+    call of the library's model for the word, shared by all its punctuations.
+    Other unknown pieces are encoded many at a time, a carriage return between
+    them, which is a token of its own there. Special tokens' strings in a text
+    are ordinary text.
     """
 
     def __init__(self, path: str | None = None):
         self.coder = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
         self.coder.encode_special_tokens = True
+        self.model = self.coder.model
         size = self.coder.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.kind = "H" if self.dtype.itemsize == 2 else "I"
         self.between = self._ids("\r")
         self.cache: dict[str, bytes | None] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+        # The byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
 
     def _ids(self, text: str) -> list[int]:
-        return self.coder.encode(text, add_special_tokens=False).ids
+        return self.coder.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def whole(self, text: str) -> bytes:
-        return np.array(self._ids(text), self.dtype).tobytes()
+        return array(self.kind, self._ids(text)).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of letters with the space before it."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.alphabet)
+        return array(self.kind, [x.id for x in self.model.tokenize("\u0120" + word)]).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
-        alone = []
+        cache, alone = self.cache, []
         for p in pieces:
-            if not p or p[0].isspace() or p[-1].isspace():
-                self.cache[p] = None
+            m = WORD.fullmatch(p)
+            if m:
+                word, tail = m.groups()
+                ids = cache.get(word)
+                if ids is None:
+                    ids = self._word(word)
+                    if not tail or len(word) <= LONG_PIECE:
+                        cache[word] = ids
+                if tail:
+                    if tail not in self.tails:
+                        self.tails[tail] = self.whole(tail)
+                    cache[p] = ids + self.tails[tail]
+            elif not p or p[0].isspace() or p[-1].isspace():
+                cache[p] = None
             elif "\r" in p or len(self.between) != 1:
-                self.cache[p] = self.whole(" " + p)
+                cache[p] = self.whole(" " + p)
             else:
                 alone.append(p)
         width = self.dtype.itemsize
@@ -93,7 +125,7 @@ class Encoder:
                 raise ValueError("the vocabulary joins a carriage return to its neighbours")
             begins, ends = (width * np.r_[0, cuts + 1]).tolist(), (width * np.r_[cuts, len(ids)]).tolist()
             raw = ids.tobytes()
-            self.cache.update(zip(some, [raw[a:b] for a, b in zip(begins, ends)]))
+            cache.update(zip(some, [raw[a:b] for a, b in zip(begins, ends)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian bytes of ``dtype``."""
@@ -101,10 +133,10 @@ class Encoder:
         seen: set[str] = set()
         for parts in split:
             seen.update(parts[1:])
+        if len(self.cache) >= CACHE:
+            # What was met first is what is met often.
+            self.cache = dict(islice(self.cache.items(), CACHE // 2))
         new = seen.difference(self.cache)
-        if len(self.cache) + len(new) > CACHE:
-            self.cache.clear()
-            new = seen
         self._learn(list(new))
         out, get = [], self.cache.__getitem__
         for text, parts in zip(texts, split):
@@ -124,6 +156,12 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str | None) -> Encoder:
+    """One encoder a worker process and vocabulary: what it has learned serves the worker's later tasks."""
+    return Encoder(path)
+
+
 def _store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
@@ -193,7 +231,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
         out, block, number = None, None, 0
 
@@ -214,7 +252,6 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
                     out.add(doc_id, ids + end)
         if out is not None:
             yield closed()
-        encoder.cache.clear()
         pa.default_memory_pool().release_unused()
 
     files = materialize(in_order(rows, "doc_id", "text").mapInArrow(run, FILES), "token-files")
