@@ -52,6 +52,13 @@ class TrainResult:
     results_path: str | None = None
 
 
+def read_visits(spark: SparkSession, path: str, schema=None, names: dict[str, str] | None = None) -> DataFrame:
+    """Visits from a CSV, parquet or JSON table with its dates parsed: columns named like dates, and the arrival and departure of ``names``."""
+    raw = R.coerce_date_columns(R.read_by_extension(spark, path, schema, None))
+    named = [c for k, c in (names or {}).items() if k in ("arrival", "departure") and c in raw.columns]
+    return raw.withColumns({c: R._as_timestamp(raw, c) for c in named}) if named else raw
+
+
 def train_from_visits(spark: SparkSession, path: str, output_dir: str, group_cols=(), schema=None,
                       names: dict[str, str] | None = None, **options) -> TrainResult:
     """Visits file -> dates parsed -> daily features, written -> models, metadata and results file.
@@ -59,7 +66,7 @@ def train_from_visits(spark: SparkSession, path: str, output_dir: str, group_col
     ``path`` is a CSV, parquet or JSON table of visits. The daily table goes to
     ``output_dir/processed``, models and results to ``output_dir/models``.
     """
-    raw = R.coerce_date_columns(R.read_by_extension(spark, path, schema, None))
+    raw = read_visits(spark, path, schema, names)
     R.write_json_result(P.visit_quality(raw, names, group_cols), f"{output_dir}/processed", "visit_quality")
     daily = build_daily_features(raw, group_cols, names)
     written = R.write_table(daily, f"{output_dir}/processed")
@@ -147,6 +154,13 @@ def load_history(spark: SparkSession, source, end=None, order_col: str | None =
     return df.withColumn(S.DATE, F.to_date(R._as_timestamp(df, S.DATE)))
 
 
+def predict_entries(model: MD.ForecastModel, entries: DataFrame, group_cols=()) -> dict[str, DataFrame]:
+    """Predictions and alerts of single days given by hand: features an entry table lacks take their defaults."""
+    scored = MD.predict(model, P.default_missing_columns(entries, model.feature_names, "entry"))
+    alerts = model.alerts(scored, group_cols) if S.DATE in entries.columns else None
+    return {"predictions": scored, "alerts": alerts}
+
+
 def forecast(spark: SparkSession, history, model, days: int = 30, group_cols=(), end=None,
              order_col: str | None = None, output_dir: str | None = None,
              lag_mode: str = "reference") -> dict[str, DataFrame]:
@@ -164,9 +178,12 @@ def forecast(spark: SparkSession, history, model, days: int = 30, group_cols=(),
     summary = M.forecast_summary(fc, group_cols)
     if output_dir:
         stamp = _dt.datetime.now().strftime("%Y%m%d_%H%M%S")
-        R.write_table(fc, output_dir, f"predictions_{stamp}")
-        R.write_json_result(alerts, output_dir, f"alerts_{stamp}")
-        R.write_json_result(summary, output_dir, f"summary_{stamp}")
+        paths = {"predictions": R.write_table(fc, output_dir, f"predictions_{stamp}"), "alerts": R.write_json_result(alerts, output_dir, f"alerts_{stamp}"),
+                 "summary": R.write_json_result(summary, output_dir, f"summary_{stamp}")}
+        # Written last: the run's model, period and files.
+        run = fc.agg(F.min(S.DATE).alias("first_day"), F.max(S.DATE).alias("last_day"), F.count_distinct(S.DATE).alias("days")).withColumns({
+            "model_version": F.lit(model.model_version), "model_timestamp": F.lit(model.timestamp), "paths": F.lit(json.dumps(paths)), "created": F.lit(stamp)})
+        R.write_json_result(run.coalesce(1), output_dir, f"run_{stamp}")
     return {"forecast": fc, "alerts": alerts, "chart": chart, "summary": summary}
 
 

@@ -12,6 +12,7 @@ import datetime as _dt
 import json
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -78,15 +79,15 @@ def admissions_regressor(label: str = S.ADMISSIONS, prediction: str = PRED_ADM,
 def occupancy_regressor(label: str = S.OCCUPANCY, prediction: str = PRED_OCC, **params) -> RandomForestRegressor:
     """M3's estimator: a forest using every feature at each split, grown to leaves of one row.
 
-    ``maxDepth=None`` means the deepest tree Spark allows. A minimum split size
-    is applied to the grown trees (see :func:`fit_occupancy`).
+    ``maxDepth=None`` means the deepest tree Spark allows; ``bootstrap=False``
+    gives every tree all rows. A minimum split size is applied to the grown trees (see :func:`fit_occupancy`).
     """
     p = {**OCCUPANCY_PARAMS, **params}
     # cacheNodeIds / maxMemoryInMB only change how deep trees are grown
     # (fewer passes over the data), not the fitted trees.
     return RandomForestRegressor(labelCol=label, predictionCol=prediction, numTrees=int(p["numTrees"]),
                                  maxDepth=_depth(p["maxDepth"]), maxBins=int(p["maxBins"]), featureSubsetStrategy="all",
-                                 seed=int(p["seed"]), cacheNodeIds=True, maxMemoryInMB=1024)
+                                 bootstrap=bool(p.get("bootstrap", True)), seed=int(p["seed"]), cacheNodeIds=True, maxMemoryInMB=1024)
 
 
 def fit_admissions(df: DataFrame, features, label: str = S.ADMISSIONS, **params) -> PipelineModel:
@@ -132,8 +133,8 @@ class ForecastModel:
     def importances(self) -> dict[str, dict[str, float]]:
         out = {}
         for name, pm in (("admissions", self.admission_model), ("occupancy", self.occupancy_model)):
-            imp = pm.stages[-1].featureImportances.toArray().tolist()
-            out[name] = dict(zip(self.feature_names, map(float, imp)))
+            imp = getattr(pm.stages[-1], "featureImportances", None)  # only trees have them
+            out[name] = {} if imp is None else dict(zip(self.feature_names, map(float, imp.toArray())))
         return out
 
     def alert_rules(self) -> list[AL.AlertRule]:
@@ -211,6 +212,7 @@ META_SCHEMA = T.StructType([
     T.StructField("timestamp", T.StringType()),
     T.StructField("model_version", T.StringType()),
     T.StructField("series_cols", T.ArrayType(T.StringType())),
+    T.StructField("thresholds", T.StringType()),
 ])
 
 
@@ -225,19 +227,23 @@ def _paths(directory: str, prefix: str) -> dict[str, str]:
 
 
 def save_model(model: ForecastModel, spark: SparkSession, directory: str, prefix: str | None = None) -> dict[str, str]:
-    """Both pipelines (Spark ML format) and a one-row JSON metadata table."""
-    prefix = prefix or "model_" + _dt.datetime.now().strftime("%Y%m%d_%H%M%S")
+    """Both pipelines (Spark ML format), the series' thresholds, and last a one-row JSON record.
+
+    The record commits the model: readers begin with it, so a model whose
+    writing was cut short is never found. It names the thresholds' table.
+    """
+    prefix = prefix or "model_" + _dt.datetime.now().strftime("%Y%m%d_%H%M%S_%f")
     paths = _paths(directory, prefix)
     model.admission_model.write().overwrite().save(paths["admission_model"])
     model.occupancy_model.write().overwrite().save(paths["occupancy_model"])
-    imp = model.importances()
-    row = (prefix, list(model.feature_names), imp["admissions"], imp["occupancy"],
-           model.admission_threshold, float(model.occupancy_threshold),
-           json.dumps(model.metrics), model.timestamp, model.model_version, list(model.series_cols))
     if model.series_thresholds is not None:
         model.series_thresholds.write.mode("overwrite").parquet(paths["thresholds"])
     else:
         paths.pop("thresholds")
+    imp = model.importances()
+    row = (prefix, list(model.feature_names), imp["admissions"], imp["occupancy"],
+           model.admission_threshold, float(model.occupancy_threshold),
+           json.dumps(model.metrics), model.timestamp, model.model_version, list(model.series_cols), paths.get("thresholds", "").rpartition("/")[2] or None)
     spark.createDataFrame([row], META_SCHEMA).coalesce(1).write.mode("overwrite").json(paths["metadata"])
     return paths
 
@@ -253,22 +259,28 @@ def load_model(spark: SparkSession, admission_path: str, occupancy_path: str,
         return ForecastModel(adm, occ, list(adm.stages[0].getInputCols()), float(admission_threshold))
     r = spark.read.schema(META_SCHEMA).json(metadata_path).first()
     series = tuple(r["series_cols"] or ())
-    table = spark.read.parquet(metadata_path.removesuffix("_metadata") + "_thresholds") if series else None
+    folder, _, name = metadata_path.rstrip("/").rpartition("/")
+    table = spark.read.parquet(f"{folder}/{r['thresholds'] or name.removesuffix('_metadata') + '_thresholds'}") if series else None
     return ForecastModel(adm, occ, list(r["feature_names"]), r["admission_threshold"], r["occupancy_threshold"],
                          table, series, json.loads(r["metrics"] or "{}"), r["timestamp"], r["model_version"])
 
 
 def load_latest_model(spark: SparkSession, location: str) -> ForecastModel:
-    """An exact ``*_admission_model`` path, or the newest model saved in a directory."""
+    """An exact ``*_admission_model`` path, or the newest committed model in a directory.
+
+    A directory without one is a FileNotFoundError; any other failure to read is raised as it is.
+    """
     loc = location.rstrip("/")
     if loc.endswith("_admission_model"):
         base = loc[: -len("_admission_model")]
         return load_model(spark, loc, base + "_occupancy_model", base + "_metadata")
     try:
         meta = spark.read.schema(META_SCHEMA).json(loc + "/*_metadata")
-        row = meta.orderBy(F.desc("timestamp"), F.desc("prefix")).select("prefix").limit(1).collect()
-    except Exception as exc:
-        raise FileNotFoundError(f"no model found in {location!r}: {exc}") from exc
+        row = meta.where(F.col("prefix").isNotNull()).orderBy(F.desc("timestamp"), F.desc("prefix")).select("prefix").limit(1).collect()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no model found in {location!r}") from exc
     if not row:
         raise FileNotFoundError(f"no model found in {location!r}")
     p = _paths(loc, row[0]["prefix"])

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -112,6 +113,30 @@ def flat_trees(model: RandomForestRegressionModel | GBTRegressionModel, path: st
                      got["feature"].astype(np.int64), threshold, roots, np.array([weights[i] for i in range(len(roots))]))
 
 
+def node_rows(pipeline: PipelineModel, features) -> DataFrame:
+    """The fitted trees of a ``models.scaled_pipeline`` as a table: tree, node, feature, cut, rows, value.
+
+    ``node`` is the path from the root, a letter L (at most ``cut``) or R a level;
+    leaves have no feature and cut. Cuts are in the features' own units.
+    """
+    _, scaler, model = pipeline.stages
+    flat, std, mean = flat_trees(model), scaler.std.toArray(), scaler.mean.toArray()
+    paths = np.full(len(flat.left), "", object)
+    level = flat.roots
+    while len(level):
+        inner = level[flat.left[level] >= 0]
+        for to, letter in ((flat.left, "L"), (flat.right, "R")):
+            paths[to[inner]] = paths[inner] + letter
+        level = np.r_[flat.left[inner], flat.right[inner]]
+    leaf, of = flat.left < 0, np.maximum(flat.feature, 0)
+    tree = np.searchsorted(flat.roots, np.arange(len(leaf)), side="right") - 1
+    names = np.array(list(features), object)[of]
+    cut = flat.threshold * std[of] + mean[of]
+    return SparkSession.active().createDataFrame(pa.table({
+        "tree": pa.array(tree, pa.int32()), "node": pa.array(paths, pa.string()), "feature": pa.array(names, pa.string(), mask=leaf),
+        "cut": pa.array(cut, pa.float64(), mask=leaf), "rows": pa.array(flat.rows, pa.int64()), "value": pa.array(flat.prediction, pa.float64())}))
+
+
 def truncated(model: RandomForestRegressionModel, deepest: int | None = None, least: int = 0) -> RandomForestRegressionModel:
     """``model`` with every node at level ``deepest`` and every node of fewer than ``least`` rows made a leaf.
 

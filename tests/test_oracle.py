@@ -12,7 +12,8 @@ NAMES = ["build_daily_features", "build_daily_features_events", "impute_median",
          "seasonal_pattern", "time_series_folds", "extended_metrics", "residual_density",
          "interval_uplift", "scenario", "calendar_factor_events", "forecast_seed_events", "daily_updates_events",
          "visit_quality", "impute_median_events", "iqr_threshold_events", "densify_daily_gappy", "random_split",
-         "forecast_linear", "fold_metrics_naive", "csv_round_trip"]
+         "forecast_linear", "fold_metrics_naive", "csv_round_trip", "tree_nodes", "predict_trees", "importances_trees",
+         "cross_validate_trees", "grid_search_trees", "model_round_trip", "predict_entries", "read_visits", "prepare_model_input"]
 
 
 @pytest.fixture(scope="module")
