@@ -1,12 +1,15 @@
 """Language-model scores: a log-bilinear model trained with noise-contrastive estimation.
 
-The model predicts one of a fixed number of outputs -- the commonest words, the
-end of the text, and classes of all other words -- from the two outputs before
-it. Each context position has a matrix; their products with the context's
-vectors add up to a predicted vector, whose products with the output vectors
-and the biases give the scores. Inside a class, words follow their smoothed
-counts, with one place for a word that was never seen. So every token has a
-normalised probability over all known words and the unknown one.
+The model predicts an output -- one of the commonest words, the end of the text,
+or a class of all other words -- from the two outputs before it. Each context
+position has a matrix; their products with the context's vectors add up to a
+predicted vector, whose products with the output vectors and the biases give the
+scores. Inside a class, its more frequent words have vectors and biases of their
+own, scored by the same predicted vector and normalised over the class; their
+number follows the corpus, ``OWN`` times the root of its tokens. All rarer words of
+a class follow their smoothed counts, with one place for a word that was never
+seen. So every token has a normalised probability over all known words and the
+unknown one, the product of its class's and its own inside the class.
 
 Word counts are exact and cover all training rows. Words with at least 1 /
 ``HEAD`` of the tokens -- at most ``HEAD`` words, whatever the corpus -- are
@@ -23,10 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import pieces_of
+from daycast.llm.common import give_back, pieces_of
 from daycast.session import materialize
 
 HEAD = 1_000_000
@@ -36,6 +41,13 @@ WIDTH = 16
 NOISE = 16
 MINIBATCH = 4096
 RATE = 0.1
+#: Words with vectors of their own inside the classes: this times the root of the training tokens.
+OWN = 2.0
+INNER_NOISE = 2
+#: Values of the parameters in one row when tasks' models are averaged.
+BLOCK = 1 << 14
+#: Tokens of one class scored at once.
+INNER_STEP = 4096
 #: Passes over disjoint parts of the training rows, with the tasks' models averaged after each.
 ROUNDS = 2
 HELD_WORDS = 200_000
@@ -92,6 +104,10 @@ class Vocabulary:
     def common(self) -> int:
         return min(WORDS, len(self.head))
 
+    @property
+    def own(self) -> int:
+        return min(len(self.head) - self.common, int(np.ceil(OWN * self.tokens**0.5)))
+
     def output_counts(self) -> np.ndarray:
         """Expected tokens of each output, smoothed like the words inside a class."""
         words = np.zeros(WORDS)
@@ -168,6 +184,53 @@ def read(texts: list[bytes], codes: _Codes, head_class: np.ndarray) -> tuple[np.
     return flat, outputs, first, words
 
 
+class OwnWords:
+    """The words with vectors inside the classes, class by class, and their shares of the class's such words."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        first, n = vocabulary.common, vocabulary.own
+        classes = np.array([class_of(w) for w in vocabulary.head[first : first + n]], np.int64)
+        order = np.argsort(classes, kind="stable")
+        self.size, self.classes = n, classes[order]
+        self.starts = np.searchsorted(self.classes, np.arange(CLASSES + 1))
+        weight = vocabulary.head_count[first + order] + 0.5
+        self.cumulated = np.cumsum(weight)
+        before = np.r_[0.0, self.cumulated]
+        self.low, self.end = before[self.starts[self.classes]], self.starts[self.classes + 1]
+        self.mass = before[self.end] - self.low
+        self.log_share = np.log(weight / self.mass).astype(np.float32)
+        self.place = np.full(len(vocabulary.head) + 1, -1)
+        self.place[first + order] = np.arange(n)
+
+    def places(self, codes: np.ndarray, outputs: np.ndarray) -> np.ndarray:
+        """Each token's place among these words, -1 for any other."""
+        return np.where((codes >= 0) & (outputs > END), self.place[np.maximum(codes, 0)], -1)
+
+    def start(self) -> dict[str, np.ndarray]:
+        return {"own": np.zeros((self.size, WIDTH), np.float32), "own_bias": self.log_share.copy()}
+
+    def noise(self, rng: np.random.Generator, place: np.ndarray, n: int) -> np.ndarray:
+        """For every token ``n`` words of its class by their counts."""
+        at = self.low[place][:, None] + rng.random((len(place), n)) * self.mass[place][:, None]
+        return np.minimum(np.searchsorted(self.cumulated, at, side="right"), self.end[place][:, None] - 1)
+
+    def log_gain(self, values: dict[str, np.ndarray], predicted: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Log probability of every token's word inside its class, less that of its share; one matrix product a class."""
+        out = np.empty(len(place))
+        order = np.argsort(self.classes[place], kind="stable")
+        cuts = np.searchsorted(self.classes[place[order]], np.arange(CLASSES + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            a, b = self.starts[k], self.starts[k + 1]
+            own, bias = values["own"][a:b].T, values["own_bias"][a:b]
+            for at in range(cuts[k], cuts[k + 1], INNER_STEP):
+                some = order[at : min(at + INNER_STEP, cuts[k + 1])]
+                scores = predicted[some] @ own + bias
+                top = scores.max(axis=1)
+                total = np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top
+                out[some] = scores[np.arange(len(some)), place[some] - a] - total - self.log_share[place[some]]
+        return out
+
+
 # The model ----------------------------------------------------------------
 
 
@@ -195,24 +258,30 @@ def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
 class Trainer:
     """Noise-contrastive estimation with Adagrad; the noise words of a minibatch are shared."""
 
-    def __init__(self, values: dict[str, np.ndarray], noise: np.ndarray, seed: int):
+    def __init__(self, values: dict[str, np.ndarray], noise: np.ndarray, seed: int, own: OwnWords | None = None, inner: dict[str, np.ndarray] | None = None):
+        self.own = own if own is not None and own.size else None
+        self.inner = {k: v.copy() for k, v in (inner or {}).items()}
+        self.inner_squares = {k: np.full(v.shape, 0.1, np.float32) for k, v in self.inner.items()}
         self.values = {k: v.copy() for k, v in values.items()}
         self.squares = {k: np.full(v.shape, 0.1, np.float32) for k, v in values.items()}
         self.rng = np.random.default_rng(seed)
         self.cumulated = np.cumsum(noise)
         self.log_expected = np.log(NOISE * noise).astype(np.float32)
 
-    def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
+    def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray, place: np.ndarray | None = None) -> None:
         v = self.values
         noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE)), len(self.cumulated) - 1)
         c1, c2 = v["context"][one], v["context"][two]
         predicted = c1 @ v["place1"] + c2 @ v["place2"]
+        hit = np.flatnonzero(place >= 0) if place is not None and self.own is not None else np.zeros(0, np.int64)
         q, q_noise = v["output"][word], v["output"][noise]
         true = np.einsum("ij,ij->i", predicted, q) + v["bias"][word] - self.log_expected[word]
         false = predicted @ q_noise.T + (v["bias"][noise] - self.log_expected[noise])
         up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
         down = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
         toward = up[:, None] * q + down @ q_noise
+        if len(hit):
+            toward[hit] += self.inside(predicted[hit], place[hit])
         grad = {k: np.zeros_like(x) for k, x in v.items()}
         _add_rows(grad["output"], word, up[:, None] * predicted)
         np.add.at(grad["output"], noise, down.T @ predicted)
@@ -228,56 +297,103 @@ class Trainer:
             v[k] += RATE * g / np.sqrt(self.squares[k])
 
 
+    def inside(self, p: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """The same estimation among the words of a class, for tokens with predicted vectors ``p`` and places ``w``.
+
+        Only rows met are touched. Returns the gradient of the predicted vectors.
+        """
+        rows = np.column_stack([w, self.own.noise(self.rng, w, INNER_NOISE)])
+        q = self.inner["own"][rows]
+        score = np.einsum("md,mkd->mk", p, q) + self.inner["own_bias"][rows] - self.own.log_share[rows] - np.float32(np.log(INNER_NOISE))
+        toward = -1 / (1 + np.exp(np.clip(-score, -30, 30)))
+        toward[:, 0] += 1
+        back = np.einsum("mk,mkd->md", toward, q)
+        flat = rows.ravel()
+        order = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
+        met = flat[order][first]
+        grad = {"own": (toward[:, :, None] * p[:, None, :]).reshape(-1, p.shape[1]), "own_bias": toward.ravel()}
+        for k, g in grad.items():
+            g = np.add.reduceat(g[order], first)
+            self.inner_squares[k][met] += g * g
+            self.inner[k][met] += RATE * g / np.sqrt(self.inner_squares[k][met])
+        return back
+
+
 def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """Train on all rows of ``texts`` (part, text), each row in one round.
 
     In a round every task runs over its own rows from the same start; Spark
-    sums the parameters weighted by tokens, and their mean starts the next
-    round. The driver holds one set of parameters of fixed size.
+    averages the parameters, in blocks and weighted by tokens, and their mean
+    starts the next round. The driver holds one set of parameters: those of the
+    outputs, of fixed size, and those of at most ``HEAD`` words of their own.
     """
-    values = start_values(vocabulary)
+    values = start_values(vocabulary) | OwnWords(vocabulary).start()
     noise = vocabulary.output_counts()
     noise = noise / noise.sum()
     names = list(values)
+    sizes = [values[k].size for k in names]
     sc = texts.sparkSession.sparkContext
     for turn in range(rounds):
         sent = sc.broadcast((vocabulary, values, noise))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocabulary, values, noise = sent.value
-            codes, head_class = _Codes(vocabulary), head_outputs(vocabulary)
-            trainer, seen = Trainer(values, noise, turn), 0
+            codes, head_class, own = _Codes(vocabulary), head_outputs(vocabulary), OwnWords(vocabulary)
+            inner = {k: values[k] for k in ("own", "own_bias")}
+            trainer, seen = Trainer({k: v for k, v in values.items() if k not in inner}, noise, turn, own, inner), 0
             for batch in batches:
                 for part in pieces_of(batch, 512):
-                    _, outputs, first, _ = read(part.column("text").to_pylist(), codes, head_class)
+                    flat, outputs, first, _ = read(part.column("text").to_pylist(), codes, head_class)
                     one, two = contexts(outputs, first)
+                    place = own.places(flat, outputs)
                     order = trainer.rng.permutation(len(outputs))
                     for at in range(0, len(order), MINIBATCH):
                         pick = order[at : at + MINIBATCH]
-                        trainer.step(outputs[pick], one[pick], two[pick])
+                        trainer.step(outputs[pick], one[pick], two[pick], place[pick])
                     seen += len(outputs)
             if seen:
-                flat = np.concatenate([trainer.values[k].ravel() for k in names]).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen))], ["place", "value", "weight"])
-
-        sums = texts.where(F.col("part") == turn).select("text").mapInArrow(run, "place long, value double, weight long").groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("mean")).toArrow()
-        if sums.num_rows:
-            flat = np.empty(sums.num_rows, np.float32)
-            flat[sums.column("place").to_numpy()] = sums.column("mean").to_numpy()
-            ends = np.cumsum([values[k].size for k in names])
-            values = {k: x.reshape(values[k].shape) for k, x in zip(names, np.split(flat, ends[:-1]))}
+                learned = trainer.values | trainer.inner
+                flat = np.concatenate([learned[k].ravel() for k in names])
+                ends = np.r_[np.arange(0, len(flat), BLOCK), len(flat)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(ends) - 1)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), pa.array(np.full(len(ends) - 1, float(seen)))],
+                    ["block", "data", "weight"])
+            give_back()
+
+        rows = texts.where(F.col("part") == turn).select("text").mapInArrow(run, "block long, data array<float>, weight double")
+        mean = Summarizer.mean(array_to_vector(F.col("data").cast("array<double>")), F.col("weight"))
+        blocks = rows.groupBy("block").agg(vector_to_array(mean, "float32").alias("mean")).orderBy("block").toArrow().column("mean").combine_chunks()
+        if len(blocks):
+            flat = (blocks if isinstance(blocks, pa.Array) else pa.concat_arrays(blocks.chunks)).flatten().to_numpy()
+            values = {k: x.reshape(values[k].shape) for k, x in zip(names, np.split(flat, np.cumsum(sizes)[:-1]))}
         sent.unpersist()
     return values
 
 
 @dataclass
 class Scorer:
-    """Score tables: log probability = one[c1, w] + two[c2, w] + bias[w] - norm[c1, c2]."""
+    """Score tables: log probability of an output = one[c1, w] + two[c2, w] + bias[w] - norm[c1, c2].
+
+    ``lead1`` and ``lead2`` are the contexts' parts of the predicted vector, which
+    scores the words with vectors of their own (``inner``).
+    """
 
     one: np.ndarray
     two: np.ndarray
     bias: np.ndarray
     norm: np.ndarray
+    lead1: np.ndarray
+    lead2: np.ndarray
+    inner: dict[str, np.ndarray] | None = None
+
+    def log10_inside(self, own: OwnWords, place: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
+        """What a token's own vector adds to the log10 of its share of its class; 0 for a token without a ``place``."""
+        out = np.zeros(len(place))
+        hit = np.flatnonzero(place >= 0)
+        if len(hit) and self.inner is not None:
+            out[hit] = own.log_gain(self.inner, self.lead1[c1[hit]] + self.lead2[c2[hit]], place[hit]) / LN10
+        return out
 
     def log10(self, word: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
         return (self.one[c1, word] + self.two[c2, word] + self.bias[word] - self.norm[c1, c2]).astype(np.float64) / LN10
@@ -296,11 +412,12 @@ def normalisers(one: np.ndarray, two: np.ndarray, bias: np.ndarray, rows: np.nda
 
 
 def scorer(values: dict[str, np.ndarray]) -> Scorer:
-    """Tables of fixed size, by matrix products over all pairs of context outputs."""
-    one = values["context"] @ values["place1"] @ values["output"].T
-    two = values["context"] @ values["place2"] @ values["output"].T
+    """Tables of fixed size, by matrix products over all pairs of context outputs, and the words' own vectors."""
+    lead1, lead2 = values["context"] @ values["place1"], values["context"] @ values["place2"]
+    one, two = lead1 @ values["output"].T, lead2 @ values["output"].T
     norm = np.concatenate([normalisers(one, two, values["bias"], rows) for rows in np.array_split(np.arange(len(one)), 8)])
-    return Scorer(one, two, values["bias"], norm.astype(np.float32))
+    inner = {k: values[k] for k in ("own", "own_bias")} if "own" in values else None
+    return Scorer(one, two, values["bias"], norm.astype(np.float32), lead1, lead2, inner)
 
 
 PARTIAL = "row long, n_tokens long, known long, base double, score double, rare array<struct<word: binary, n: long>>"
@@ -318,7 +435,7 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, tabl
         from pyspark import TaskContext
 
         vocabulary, tables = sent.value
-        codes, head_class = _Codes(vocabulary), head_outputs(vocabulary)
+        codes, head_class, own = _Codes(vocabulary), head_outputs(vocabulary), OwnWords(vocabulary)
         base = np.append(vocabulary.base_log10(vocabulary.head_count), 0.0)
         absent = float(vocabulary.base_log10(np.float64(0))) - np.log10(0.5)  # less the log of c + 0.5
         base_end = float(vocabulary.base_log10(np.float64(vocabulary.ends)))
@@ -337,6 +454,7 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, tabl
                 rare = flat < 0
                 place = np.maximum(flat, 0)
                 token = tables.log10(outputs, one, two) + np.where(rare, -mass[np.where(rare, -1 - flat, 0)], np.where(end, 0, within[place]))
+                token += tables.log10_inside(own, own.places(flat, outputs), one, two)
                 plain = np.where(rare, absent, np.where(end, base_end, base[place]))
                 known = np.where(end, vocabulary.ends > 0, ~rare)
                 sums = [np.add.reduceat(x, first) for x in (token, plain, known.astype(np.int64))]
@@ -349,6 +467,7 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, tabl
                 row += part.num_rows
                 new = [pa.array(rows), pa.array(sizes), pa.array(sums[2]), pa.array(sums[1]), pa.array(sums[0]), pa.array(lists, rare_type)]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys.values()), *new], [*keys.values(), "row", "n_tokens", "known", "base", "score", "rare"])
+        give_back()
 
     done = materialize(renamed.mapInArrow(run, schema), "lm-partial")
     rare = done.select("row", F.explode("rare").alias("w")).select("row", "w.word", "w.n")

@@ -94,4 +94,68 @@ def test_held_out_texts_score_better_than_base(spark):
     from daycast.llm import queries
 
     rows = queries.op7_lm_score(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
-    assert rows[0] > 0.985 * rows[1]
+    assert rows[0] > 0.96 * rows[1]  # 4.3 per cent; 4.1 without the words' own vectors
+
+
+def vocabulary_of(counts, tokens=None):
+    """A vocabulary whose commonest words are taken up, so that all of ``counts`` are in classes."""
+    common = [b"common%d" % i for i in range(lm.WORDS)]
+    words = sorted(counts, key=lambda w: (-counts[w], w))
+    n = np.array([10**6] * lm.WORDS + [counts[w] for w in words], float)
+    tokens_of, types_of = np.zeros(lm.CLASSES), np.zeros(lm.CLASSES)
+    for w in words:
+        tokens_of[lm.class_of(w)] += counts[w]
+        types_of[lm.class_of(w)] += 1
+    return lm.Vocabulary(int(tokens or n.sum()), len(n), 5, common + words, n, tokens_of, types_of)
+
+
+def test_words_of_a_class_sum_to_its_share():
+    counts = {b"w%dab" % i: 200 - i for i in range(50)} | {b"v%dzq" % i: 30 + i for i in range(9)} | {b"rare%dab" % i: 1 for i in range(20)}
+    known = vocabulary_of(counts, 900)  # a root of 30: the sixty commonest have vectors
+    own = lm.OwnWords(known)
+    assert own.size == known.own == 60
+    r = np.random.default_rng(3)
+    inner = {k: v + r.normal(0, 0.5, v.shape).astype(np.float32) for k, v in own.start().items()}
+    predicted = r.normal(0, 1, (2, lm.WIDTH)).astype(np.float32)
+    for p in predicted:
+        for k in set(own.classes.tolist()):
+            members = np.flatnonzero(own.classes == k)
+            logs = own.log_gain(inner, np.repeat(p[None], len(members), 0), members) + own.log_share[members]
+            assert np.exp(logs).sum() == pytest.approx(1, abs=1e-5)
+    # Without training a word keeps its share.
+    assert np.allclose(own.log_gain(own.start(), np.zeros((own.size, lm.WIDTH)), np.arange(own.size)), 0, atol=1e-5)
+    noise = own.noise(r, np.arange(own.size), 50)
+    assert (own.classes[noise] == own.classes[:, None]).all()
+
+
+def test_own_words_follow_the_corpus():
+    counts = {b"x%dab" % i: 50 for i in range(5000)}
+    assert [vocabulary_of(counts, n).own for n in (100, 10_000, 10**6)] == [20, 200, 2000]
+    codes = np.array([0, lm.WORDS, lm.WORDS + 3, -4, 0])
+    known = vocabulary_of(counts, 10_000)
+    own = lm.OwnWords(known)
+    outputs = lm.outputs_of(codes, lm.head_outputs(known))
+    outputs[-1] = lm.END
+    places = own.places(codes, outputs)
+    assert (places >= 0).tolist() == [False, True, True, False, False] and places[1] != places[2]
+
+
+def test_training_learns_the_word_inside_a_class():
+    counts = {b"aab": 1000, b"bab": 1000, b"cab": 1000, b"dab": 1000}
+    known = vocabulary_of(counts)
+    own, noise = lm.OwnWords(known), known.output_counts()
+    trainer = lm.Trainer(lm.start_values(known), noise / noise.sum(), 0, own, own.start())
+    r = np.random.default_rng(0)
+    side = r.integers(0, 2, 40000)  # the word before tells which two of the four words may follow
+    place = 2 * side + r.integers(0, 2, 40000)
+    w = np.full(40000, lm.END + 1 + lm.class_of(b"aab"))
+
+    def gain():
+        tables = lm.scorer(trainer.values | trainer.inner)
+        return tables.log10_inside(own, place, side, side).mean()
+
+    assert gain() == pytest.approx(0, abs=1e-5)
+    for _ in range(4):
+        for at in range(0, 40000, 2000):
+            trainer.step(w[at : at + 2000], side[at : at + 2000], side[at : at + 2000], place[at : at + 2000])
+    assert gain() > 0.2  # 0.30 is all there is
