@@ -47,7 +47,7 @@ INNER_NOISE = 2
 #: Values of the parameters in one row when tasks' models are averaged.
 BLOCK = 1 << 14
 #: Tokens of one class scored at once.
-INNER_STEP = 4096
+INNER_STEP = 1024
 #: Passes over disjoint parts of the training rows, with the tasks' models averaged after each.
 ROUNDS = 2
 HELD_WORDS = 200_000
@@ -217,17 +217,20 @@ class OwnWords:
     def log_gain(self, values: dict[str, np.ndarray], predicted: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Log probability of every token's word inside its class, less that of its share; one matrix product a class."""
         out = np.empty(len(place))
-        order = np.argsort(self.classes[place], kind="stable")
-        cuts = np.searchsorted(self.classes[place[order]], np.arange(CLASSES + 1))
+        of = self.classes[place].astype(np.int16)
+        order = np.argsort(of, kind="stable")
+        cuts = np.searchsorted(of[order], np.arange(CLASSES + 1))
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             a, b = self.starts[k], self.starts[k + 1]
             own, bias = values["own"][a:b].T, values["own_bias"][a:b]
             for at in range(cuts[k], cuts[k + 1], INNER_STEP):
                 some = order[at : min(at + INNER_STEP, cuts[k + 1])]
-                scores = predicted[some] @ own + bias
-                top = scores.max(axis=1)
-                total = np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top
-                out[some] = scores[np.arange(len(some)), place[some] - a] - total - self.log_share[place[some]]
+                scores = predicted[some] @ own
+                scores += bias
+                chosen, top = scores[np.arange(len(some)), place[some] - a], scores.max(axis=1)
+                scores -= top[:, None]
+                np.exp(scores, out=scores)
+                out[some] = chosen - np.log(scores.sum(axis=1)) - top - self.log_share[place[some]]
         return out
 
 
