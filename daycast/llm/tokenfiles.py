@@ -45,7 +45,7 @@ FILE_TOKENS = 64 << 20
 #: Texts encoded together.
 STEP = 256
 #: Cached pieces of one worker; beyond that the half met first stays.
-CACHE = 500_000
+CACHE = 1_000_000
 #: Longer pieces are not cached.
 LONG_PIECE = 48
 #: Pieces encoded in one call of the library.
