@@ -7,8 +7,10 @@ persisted; a fold's rows are assembled and scaled once for all its candidates.
 
 Candidates that only stop growth earlier share one fit (see ``plans.trees``): a
 forest with the most trees, the deepest limit and no least split size answers for
-every smaller forest, and the longest boosting run for every shorter one. Fits run
-concurrently from a small thread pool, the longest first, each a distributed Spark ML job.
+every smaller forest, and the longest boosting run for every shorter one. All boosting
+runs of a grid, on all folds, grow together (see ``plans.boosting``): a Spark job a tree
+level, whatever the number of candidates. Forests are fitted and all scores made
+concurrently from a small thread pool.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from daycast import schema as S
 from daycast.operators import metrics as M
 from daycast.operators.splits import fold_frames, time_series_folds
+from daycast.plans import boosting as BO
 from daycast.plans import models as MD
 from daycast.plans import trees as TR
 
@@ -61,8 +64,9 @@ def _labelled(df: DataFrame, n_splits: int, group_cols) -> DataFrame:
 class _Fold:
     """One fold's rows, assembled and scaled once, and the ensembles fitted on them."""
 
-    def __init__(self, labelled: DataFrame, number: int, features, target: str, largest: dict | None):
+    def __init__(self, labelled: DataFrame, number: int, features, target: str, largest: dict | None, runs: _Runs | None = None):
         self.train, self.test = fold_frames(labelled, number)
+        self.number, self.runs = number, runs
         self.features, self.label, self.target, self.largest = list(features), TARGETS[target][0], target, largest
         self.lock, self.tables, self.fitted = threading.Lock(), None, {}
 
@@ -77,7 +81,7 @@ class _Fold:
         return self.tables
 
     def trees(self, params: dict) -> TR.FlatTrees:
-        """The fitted ensemble of ``params``; a forest's is the one that holds the whole grid, fitted by the first to ask."""
+        """The fitted ensemble of ``params``, fitted by the first to ask: a forest that holds the whole grid, or the boosting runs of all candidates."""
         if self.target == "occupancy":
             grown = {**params, **(self.largest or {}), "min_samples_split": 2}
             key = json.dumps(grown, sort_keys=True)
@@ -86,15 +90,44 @@ class _Fold:
                     model = MD.occupancy_regressor(self.label, **grown).setFeaturesCol("_x").fit(self.scaled()[0])
                     self.fitted[key] = TR.flat_trees(model)
                 return self.fitted[key]
-        with self.lock:
-            train, _ = self.scaled()
-        return TR.flat_trees(MD.admissions_regressor(self.label, **params).setFeaturesCol("_x").fit(train))
+        return self.runs.trees(self.number, params)
 
     def release(self) -> None:
         for part in self.tables or ():
             part.unpersist()
 
 
+class _Runs:
+    """The boosting runs of all candidates on all folds, grown together when the first is asked for."""
+
+    def __init__(self, candidates: list[dict], label: str):
+        self.candidates, self.label, self.folds = candidates, label, []
+        self.lock, self.fitted = threading.Lock(), None
+
+    def trees(self, number: int, params: dict) -> TR.FlatTrees:
+        with self.lock:
+            if self.fitted is None:
+                self.fitted = self._fit()
+        return self.fitted[number, self._key(params)]
+
+    @staticmethod
+    def _key(params: dict) -> str:
+        return json.dumps({k: v for k, v in params.items() if k != PREFIX["admissions"]}, sort_keys=True)
+
+    def _fit(self) -> dict:
+        longest: dict[str, dict] = {}
+        for c in self.candidates:
+            key, rounds = self._key(c), int(c["maxIter"])
+            longest[key] = {**c, "maxIter": max(rounds, longest.get(key, c)["maxIter"]), "maxDepth": MD._depth(c["maxDepth"])}
+        train = {f.number: f.scaled()[0] for f in self.folds}
+        fitted = {}
+        for bins, seed in dict.fromkeys((int(m["maxBins"]), int(m["seed"])) for m in longest.values()):
+            some = {key: m for key, m in longest.items() if (int(m["maxBins"]), int(m["seed"])) == (bins, seed)}
+            grown = BO.boosted(train, "_x", self.label, list(some.values()), bins, seed)
+            fitted |= {(number, list(some)[i]): flat for (number, i), flat in grown.items()}
+        return fitted
+
+
 def _fold_mse(fold: _Fold, test: DataFrame, features, target: str, params: dict, sizes) -> list[float]:
     """Test MSE of one candidate, or of its first rounds or trees for every number in ``sizes``.
 
@@ -149,7 +182,10 @@ def grid_search(df: DataFrame, features, target: str = "admissions", grid: dict
     for ci, c in enumerate(candidates):
         groups.setdefault(json.dumps({k: v for k, v in c.items() if k != prefix}, sort_keys=True), []).append(ci)
     labelled = _labelled(df, n_splits, group_cols)
-    folds = [_Fold(labelled, i, features, target, _largest_forest(candidates) if target == "occupancy" else None) for i in range(n_splits)]
+    runs = _Runs(candidates, TARGETS[target][0]) if target == "admissions" else None
+    folds = [_Fold(labelled, i, features, target, _largest_forest(candidates) if target == "occupancy" else None, runs) for i in range(n_splits)]
+    if runs:
+        runs.folds = folds
     try:
         def cost(task):  # deeper trees take more passes, later folds have more rows
             members, fi = task
