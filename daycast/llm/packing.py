@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daycast.llm.common import block_of, deal_key, ordered_blocks
-from daycast.llm.tokens import Tokens
+from daycast.llm.tokens import tokens_of
 
 WINDOW = 1024
 #: Token that ends every document.
@@ -41,7 +41,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 @lru_cache(maxsize=2)
 def sentence_tables(path: str | None = None) -> tuple[np.ndarray, np.ndarray]:
     """By id: does it end a sentence if white space follows; does it begin with white space."""
-    strings = Tokens(path).strings()
+    strings = tokens_of(path).strings()
     ends = np.array([s[-1:] in (b".", b"!", b"?") for s in strings])
     white = np.array([s[:1].isspace() for s in strings])
     return ends, white
@@ -177,7 +177,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     dealt = keyed.repartition(n, deal_key(docs.sparkSession, F.col("block"), n)).sortWithinPartitions("block", "doc_id", "text").drop("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(tokenizer)
+        tokens = tokens_of(tokenizer)
         stream = _Stream(window, sentence_tables(tokenizer), TaskContext.get().partitionId() << 40)
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import islice
+
 import numpy as np
 import public_tokenizers
 
 from daycast.llm.secrets import encoding
 
-#: Cached pieces of one worker; the cache starts anew beyond that.
-CACHE = 150_000
+#: Cached pieces of one worker; beyond that the half met first stays.
+CACHE = 500_000
 #: Longer pieces are not cached.
 LONG_PIECE = 48
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -33,7 +36,10 @@ class _Pieces(dict):
         ids = np.array(self.encode(" " + piece), "<u4").tobytes()
         if len(piece) <= LONG_PIECE:
             if len(self) >= CACHE:
+                # What was met first is what is met often.
+                first = list(islice(self.items(), CACHE // 2))
                 self.clear()
+                self.update(first)
             self[piece] = ids
         return ids
 
@@ -63,3 +69,9 @@ class Tokens:
     def strings(self) -> list[bytes]:
         """Every id's bytes."""
         return [self.coder.decode_single_token_bytes(i) for i in range(self.coder.n_vocab)]
+
+
+@lru_cache(maxsize=2)
+def tokens_of(path: str | None = None) -> Tokens:
+    """One coder a worker process and vocabulary: the pieces it has met serve the worker's later tasks."""
+    return Tokens(path)

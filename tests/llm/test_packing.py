@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from daycast.llm import packing
+from daycast.llm import tokens as tokens_module
 from daycast.llm.tokens import Tokens
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -116,3 +117,16 @@ def test_units_carry_the_open_sequence(frame, library, make_text, monkeypatch):
 
 def test_empty_table(frame):
     assert packing.pack(frame([])).count() == 0
+
+
+def test_pieces_are_kept_from_task_to_task(frame, monkeypatch):
+    monkeypatch.setattr(tokens_module, "CACHE", 4)
+    tokens = Tokens()
+    plain = tokens.encode
+    assert tokens.ids("x " + " ".join("abcdef")).tolist() == plain("x " + " ".join("abcdef"))
+    assert list(tokens.pieces)[:2] == ["a", "b"] and len(tokens.pieces) <= 4  # the first half stays
+    assert packing.tokens_of() is packing.tokens_of()
+    calls = []
+    monkeypatch.setattr(packing, "tokens_of", lambda path: calls.append(path) or tokens_module.tokens_of(path))
+    packing.sentence_tables.__wrapped__()
+    assert calls == [None]
