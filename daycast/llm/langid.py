@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daycast.llm.common import utf8
+from daycast.llm.common import drop_kept, utf8
 
 #: Trigram codes are hashed to so many cells, which bounds the model.
 CELLS = 1 << 17
@@ -123,6 +123,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for part in pieces(batch, "text", SCORE_BYTES):
@@ -227,6 +228,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_to: str
     schema = T.StructType([docs.schema[c] for c in kept] + added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in batches:
             for part in pieces(batch, text_col):
                 lang, score, spans = label_texts(part.column(text_col), sent.value, switch, bool(spans_to))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import give_back, pieces_of
+from daycast.llm.common import drop_kept, give_back, pieces_of
 from daycast.llm.components import components
 from daycast.session import materialize
 
@@ -104,6 +104,7 @@ def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """(id, key, n, set, bands) of every row; ``set`` is a digest of the shingle set (null: empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         words = _Words()
         for batch in batches:
             for part in pieces_of(batch, 2048):
@@ -207,6 +208,7 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int)
     wanted = classes.join(nodes, classes["node"] == nodes["of"], "left_semi").select(F.col("rep").alias("of_id"), F.col("key").alias("of_key"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         words = _Words()
         for batch in batches:
             for part in pieces_of(batch, 1024):

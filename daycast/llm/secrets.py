@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daycast.llm.common import give_back
+from daycast.llm.common import drop_kept, give_back
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -142,6 +142,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", to: str = "secret_span
     spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         encode = encoding(path).encode_ordinary
         for batch in batches:
             texts = batch.column(text_col).fill_null("")

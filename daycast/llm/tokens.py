@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
 from itertools import islice
 
 import numpy as np
 import public_tokenizers
 
+from daycast.llm.common import kept
 from daycast.llm.secrets import encoding
 
 #: Cached pieces of one worker; beyond that the half met first stays.
@@ -71,7 +71,6 @@ class Tokens:
         return [self.coder.decode_single_token_bytes(i) for i in range(self.coder.n_vocab)]
 
 
-@lru_cache(maxsize=2)
 def tokens_of(path: str | None = None) -> Tokens:
-    """One coder a worker process and vocabulary: the pieces it has met serve the worker's later tasks."""
-    return Tokens(path)
+    """One coder a worker process: the pieces it has met serve the worker's later tasks of the same vocabulary."""
+    return kept(("tokens", path), lambda: Tokens(path))

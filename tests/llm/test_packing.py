@@ -4,11 +4,12 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from daycast.llm import packing
+from daycast.llm import common, langid, minhash, packing, secrets
 from daycast.llm import tokens as tokens_module
 from daycast.llm.tokens import Tokens
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 ODD = ["", " ", "  two  spaces ", "a\n b \n\nc", " x y　z", "it's  we'll", "<|endoftext|> x", "漢字 𝄞 é", "a" * 5000, "end. \tnext\r\n", " lead", "trail ", "x \x1c y", "1 22 333"]
@@ -130,3 +131,18 @@ def test_pieces_are_kept_from_task_to_task(frame, monkeypatch):
     monkeypatch.setattr(packing, "tokens_of", lambda path: calls.append(path) or tokens_module.tokens_of(path))
     packing.sentence_tables.__wrapped__()
     assert calls == [None]
+
+
+def test_other_operators_drop_the_known_pieces(frame, monkeypatch):
+    docs = frame([(i, "plain words here") for i in range(8)])
+    model = langid.learn(docs.withColumn("lang", F.lit("en")))
+    tasks = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: tasks.append(run) or self)
+    langid.identify(docs, model)
+    secrets.find_secrets(docs)
+    minhash.signatures(docs, 2, 40, 5)
+    assert len(tasks) == 3
+    for run in tasks:
+        packing.tokens_of().ids("some words")
+        assert common._KEPT
+        assert list(run(iter([]))) == [] and not common._KEPT
