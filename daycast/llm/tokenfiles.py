@@ -44,14 +44,19 @@ BATCH_SEQUENCES = 256
 FILE_TOKENS = 64 << 20
 #: Texts encoded together.
 STEP = 256
-#: Cached pieces of one worker; beyond that the half met first stays.
-CACHE = 1_000_000
+#: Cached pieces of one worker, as many as a dictionary of 2^21 places takes; beyond that the half met first stays.
+CACHE = 1_390_000
 #: Longer pieces are not cached.
 LONG_PIECE = 48
+#: In place of the ids of a piece that can't be encoded alone.
+WHOLE = "whole"
+#: Cached punctuations and line ends.
+TAILS = 10_000
 #: Pieces encoded in one call of the library.
 JOINED = 200
-#: A word of letters (of the Latin blocks, the same in all versions of Unicode) and punctuation after it.
-WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+#: A word of letters (of the Latin blocks, the same in all versions of Unicode) and punctuation after it, then perhaps
+#: line ends and the next line's first word with its punctuation.
+WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)(?:(\n+)([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*))?")
 FILES = "block int, file int, path string, tokens long, documents long, sequences long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -63,7 +68,9 @@ class Encoder:
     space and what follows, so a piece can be encoded with the space before it
     alone; a text for which that does not hold (empty pieces, pieces with white
     space at an edge) is encoded whole. A word with punctuation after it is one
-    call of the library's model for the word, shared by all its punctuations.
+    call of the library's model for the word, shared by all its punctuations; so are
+    two words with a line's end between them. Where the library's pattern cuts
+    before, between and after line ends is asked of it once for each punctuation.
     Other unknown pieces are encoded many at a time, a carriage return between
     them, which is a token of its own there. Special tokens' strings in a text
     are ordinary text.
@@ -77,8 +84,8 @@ class Encoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.kind = "H" if self.dtype.itemsize == 2 else "I"
         self.between = self._ids("\r")
-        self.cache: dict[str, bytes | None] = {}
-        self.tails: dict[str, bytes] = {"": b""}
+        self.cache: dict[str, bytes | str] = {}
+        self.tails: dict[tuple[str, str], bytes | None] = {("", ""): b""}
         # The byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.alphabet = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
@@ -89,29 +96,53 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return array(self.kind, self._ids(text)).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word of letters with the space before it."""
+    def _word(self, word: str, before: str = "\u0120") -> bytes:
+        """Ids of a word of letters with the space before it, or with nothing before it."""
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.alphabet)
-        return array(self.kind, [x.id for x in self.model.tokenize("\u0120" + word)]).tobytes()
+        return array(self.kind, [x.id for x in self.model.tokenize(before + word)]).tobytes()
+
+    def _between(self, tail: str, ends: str) -> bytes | None:
+        """Ids of punctuation and line ends that follow a word, the line ends before another word; None if a word's ids depend on them."""
+        key = tail, ends
+        if key in self.tails:
+            return self.tails[key]
+        if not ends:
+            ids = self.whole(tail)
+        else:
+            text = f" a{tail}{ends}a"
+            first, last, made, size = self.whole(" a"), self.whole("a"), self.whole(text), self.dtype.itemsize
+            apart = [at for _, at in self.coder.pre_tokenizer.pre_tokenize_str(text)]
+            alone = len(first) == len(last) == size and apart[0] == (0, 2) and apart[-1] == (len(text) - 1, len(text))
+            ids = made[size:-size] if alone else None
+        if len(self.tails) < TAILS and len(tail) + len(ends) <= LONG_PIECE:
+            self.tails[key] = ids
+        return ids
+
+    def _known(self, word: str, before: str) -> bytes:
+        """A word's ids, kept in the cache; without the space before it under a name that no piece has."""
+        name = word if before else " " + word
+        ids = self.cache.get(name)
+        if ids is None:
+            ids = self._word(word, before)
+            if len(word) <= LONG_PIECE:
+                self.cache[name] = ids
+        return ids
 
     def _learn(self, pieces: list[str]) -> None:
         cache, alone = self.cache, []
         for p in pieces:
             m = WORD.fullmatch(p)
-            if m:
-                word, tail = m.groups()
-                ids = cache.get(word)
-                if ids is None:
-                    ids = self._word(word)
-                    if not tail or len(word) <= LONG_PIECE:
-                        cache[word] = ids
-                if tail:
-                    if tail not in self.tails:
-                        self.tails[tail] = self.whole(tail)
-                    cache[p] = ids + self.tails[tail]
+            if m and (m[3] is None or self._between(m[2], m[3]) is not None):
+                word, tail, ends, following, last = m.groups()
+                ids = self._known(word, "\u0120")
+                if ends:
+                    ids += self._between(tail, ends) + self._known(following, "") + self._between(last, "")
+                elif tail:
+                    ids += self._between(tail, "")
+                cache[p] = ids
             elif not p or p[0].isspace() or p[-1].isspace():
-                cache[p] = None
+                cache[p] = WHOLE
             elif "\r" in p or len(self.between) != 1:
                 cache[p] = self.whole(" " + p)
             else:
@@ -129,23 +160,28 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian bytes of ``dtype``."""
-        split = [t.split(" ") for t in texts]
-        seen: set[str] = set()
-        for parts in split:
-            seen.update(parts[1:])
         if len(self.cache) >= CACHE:
             # What was met first is what is met often.
             self.cache = dict(islice(self.cache.items(), CACHE // 2))
-        new = seen.difference(self.cache)
+        # Nearly all pieces are known: they are looked up once, and only the gaps are learned and filled.
+        get, found, gaps = self.cache.get, [], []
+        for text in texts:
+            parts = text.split(" ")
+            ids = list(map(get, parts))
+            ids[0] = b""
+            found.append((parts[0], ids))
+            gaps.append([(i, parts[i]) for i, x in enumerate(ids) if x is None])
+        new = {p for of in gaps for _, p in of}
         self._learn(list(new))
-        out, get = [], self.cache.__getitem__
-        for text, parts in zip(texts, split):
-            first = parts[0]
-            if len(parts) == 1 or not first or first[-1].isspace():
+        out, known = [], self.cache
+        for text, (first, ids), of in zip(texts, found, gaps):
+            if len(ids) == 1 or not first or first[-1].isspace():
                 out.append(self.whole(text) if text else b"")
                 continue
+            for i, p in of:
+                ids[i] = known[p]
             try:
-                tail = b"".join(map(get, parts[1:]))
+                tail = b"".join(ids)
             except TypeError:  # a piece that can't be encoded alone
                 out.append(self.whole(text))
                 continue

@@ -41,6 +41,29 @@ def test_ids_of_any_text(library, texts):
     assert [ids_of(x, encoder) for x in encoder.encode(texts)] == [library(t) for t in texts]
 
 
+LINES = [f"{a}{tail}{ends}{b}{last}" for a in ("word", "été") for tail in ("", ".", "?!", "***", "-", "(#", "<|", "." * 60) for ends in ("", "\n", "\n\n", "\n\n\n")
+         for b, last in ((("next", ""), ("Été", ",")) if ends else (("", ""),))]
+
+
+def test_pieces_across_lines(library, monkeypatch):
+    texts = ["first " + " ".join(LINES), "x " + " ".join(reversed(LINES)), *(f"a {p} b" for p in LINES), "w it's.\nnext d'été\nand we.'s\nend ẞa.\nb a\n1 a1\nb a\n\tb"]
+    want = [library(t) for t in texts]
+    for _ in range(2):
+        encoder = tokenfiles.Encoder()
+        assert [ids_of(x, encoder) for x in encoder.encode(texts)] == want
+        assert [ids_of(x, encoder) for x in encoder.encode(texts)] == want  # from the cache
+        monkeypatch.setattr(tokenfiles, "TAILS", 3)
+
+
+def test_known_words_of_a_line_end_are_not_encoded_again(library):
+    words = [a + b for a in "abcdefgh" for b in "ijklmnopqrst"]
+    text = "x " + " ".join(f"{a}.\n{b}" for a, b in zip(words, reversed(words)))
+    encoder, sent = tokenfiles.Encoder(), []
+    encoder._ids = lambda t, ids=encoder._ids: sent.append(len(t)) or ids(t)
+    assert ids_of(encoder.encode([text])[0], encoder) == library(text)
+    assert sum(sent) < len(text) / 10
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
