@@ -135,14 +135,23 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     return Vocabulary(tokens, types, ends, words, n.astype(np.float64), class_tokens, class_types)
 
 
+class _Ends(dict):
+    """Code of a word's class by the word's last two bytes, of which there are at most 2^16 and some."""
+
+    def __missing__(self, last: bytes) -> int:
+        self[last] = code = -1 - class_of(last)
+        return code
+
+
 class _Codes(dict):
     """Word to its place in the head, or -1 - class."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__(zip(vocabulary.head, range(len(vocabulary.head))))
+        self.ends = _Ends()
 
     def __missing__(self, word: bytes) -> int:
-        return -1 - class_of(word)
+        return self.ends[word[-2:]]
 
 
 END = WORDS
@@ -251,8 +260,13 @@ def start_values(vocabulary: Vocabulary, seed: int = 11) -> dict[str, np.ndarray
     }
 
 
+def _order(values: np.ndarray, end: int) -> np.ndarray:
+    """Stable order of integers from 0 below ``end``; small ones are narrowed, which numpy sorts by digits."""
+    return np.argsort(values.astype(np.uint16) if end <= 1 << 16 else values, kind="stable")
+
+
 def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
+    order = _order(rows, len(total))
     sorted_rows = rows[order]
     first = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
     total[sorted_rows[first]] += np.add.reduceat(values[order], first)
@@ -312,7 +326,7 @@ class Trainer:
         toward[:, 0] += 1
         back = np.einsum("mk,mkd->md", toward, q)
         flat = rows.ravel()
-        order = np.argsort(flat, kind="stable")
+        order = _order(flat, self.own.size)
         first = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
         met = flat[order][first]
         grad = {"own": (toward[:, :, None] * p[:, None, :]).reshape(-1, p.shape[1]), "own_bias": toward.ravel()}
@@ -423,6 +437,21 @@ def scorer(values: dict[str, np.ndarray]) -> Scorer:
     return Scorer(one, two, values["bias"], norm.astype(np.float32), lead1, lead2, inner)
 
 
+def rare_words(rare: np.ndarray, first: np.ndarray, words: list[list[bytes]]) -> pa.ListArray:
+    """Of each text the distinct words at ``rare`` tokens, with their numbers."""
+    at = np.flatnonzero(rare)
+    cuts = np.searchsorted(at, np.append(first, len(rare))).tolist()
+    within = (at - np.repeat(first, np.diff(cuts))).tolist()
+    names, numbers, ends = [], [], [0]
+    for a, b, found in zip(cuts[:-1], cuts[1:], words):
+        counts = Counter([found[i] for i in within[a:b]])
+        names += counts
+        numbers += counts.values()
+        ends.append(len(names))
+    entries = pa.StructArray.from_arrays([pa.array(names, pa.binary()), pa.array(numbers, pa.int64())], ["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+
+
 PARTIAL = "row long, n_tokens long, known long, base double, score double, rare array<struct<word: binary, n: long>>"
 
 
@@ -448,7 +477,6 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, tabl
         within[: len(in_class)][in_class] -= mass[head_class[in_class] - END - 1]
         within[: vocabulary.common] = 0
         row = TaskContext.get().partitionId() << 40
-        rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for batch in batches:
             for part in pieces_of(batch, 512):
                 flat, outputs, first, words = read(part.column("text").to_pylist(), codes, head_class)
@@ -462,13 +490,10 @@ def score_texts(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, tabl
                 known = np.where(end, vocabulary.ends > 0, ~rare)
                 sums = [np.add.reduceat(x, first) for x in (token, plain, known.astype(np.int64))]
                 sizes = np.diff(np.append(first, len(flat)))
-                lists = []
-                for at, n, found in zip(first.tolist(), sizes.tolist(), words):
-                    places = np.flatnonzero(rare[at : at + n - 1]).tolist()
-                    lists.append([{"word": w, "n": k} for w, k in Counter([found[i] for i in places]).items()])
+                lists = rare_words(rare, first, words)
                 rows = np.arange(row, row + part.num_rows)
                 row += part.num_rows
-                new = [pa.array(rows), pa.array(sizes), pa.array(sums[2]), pa.array(sums[1]), pa.array(sums[0]), pa.array(lists, rare_type)]
+                new = [pa.array(rows), pa.array(sizes), pa.array(sums[2]), pa.array(sums[1]), pa.array(sums[0]), lists]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys.values()), *new], [*keys.values(), "row", "n_tokens", "known", "base", "score", "rare"])
         give_back()
 

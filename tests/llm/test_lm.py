@@ -159,3 +159,26 @@ def test_training_learns_the_word_inside_a_class():
         for at in range(0, 40000, 2000):
             trainer.step(w[at : at + 2000], side[at : at + 2000], side[at : at + 2000], place[at : at + 2000])
     assert gain() > 0.2  # 0.30 is all there is
+
+
+def test_narrow_orders_equal_wide_ones():
+    r = np.random.default_rng(5)
+    for end in (3, 1 << 16, 1 << 20):
+        values = r.integers(0, end, 5000)
+        assert lm._order(values, end).tolist() == np.argsort(values, kind="stable").tolist()
+
+
+def test_rare_words_of_each_text():
+    words = [[b"a", b"b", b"a", b"c"], [], [b"b"], [b"a", b"a"]]
+    flat = [w for found in words for w in [*found, None]]
+    rare = np.array([w in (b"a", b"c") for w in flat])
+    sizes = np.array([len(w) + 1 for w in words])
+    got = lm.rare_words(rare, np.cumsum(sizes) - sizes, words).to_pylist()
+    assert [[(x["word"], x["n"]) for x in row] for row in got] == [[(b"a", 2), (b"c", 1)], [], [], [(b"a", 2)]]
+
+
+def test_codes_keep_the_class_of_two_last_bytes():
+    known = lm.Vocabulary(10, 2, 1, [b"the"], np.array([4.0]), np.ones(lm.CLASSES), np.ones(lm.CLASSES))
+    codes = lm._Codes(known)
+    assert [codes[w] for w in (b"the", b"other", b"x", b"r", b"over")] == [0, *(-1 - lm.class_of(w) for w in (b"other", b"x", b"r", b"over"))]
+    assert len(codes) == 1 and len(codes.ends) == 3
