@@ -186,7 +186,7 @@ def read(texts: list[bytes], codes: _Codes, head_class: np.ndarray) -> tuple[np.
     first = np.cumsum(sizes) - sizes
     flat = np.empty(int(sizes.sum()), np.int64)
     for at, found in zip(first.tolist(), words):
-        flat[at : at + len(found)] = [codes[w] for w in found]
+        flat[at : at + len(found)] = list(map(codes.__getitem__, found))
         flat[at + len(found)] = 0
     outputs = outputs_of(flat, head_class)
     outputs[first + sizes - 1] = END
@@ -234,7 +234,7 @@ class OwnWords:
             own, bias = values["own"][a:b].T, values["own_bias"][a:b]
             for at in range(cuts[k], cuts[k + 1], INNER_STEP):
                 some = order[at : min(at + INNER_STEP, cuts[k + 1])]
-                scores = predicted[some] @ own
+                scores = predicted.take(some, axis=0) @ own
                 scores += bias
                 chosen, top = scores[np.arange(len(some)), place[some] - a], scores.max(axis=1)
                 scores -= top[:, None]
@@ -269,7 +269,15 @@ def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     order = _order(rows, len(total))
     sorted_rows = rows[order]
     first = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
-    total[sorted_rows[first]] += np.add.reduceat(values[order], first)
+    total[sorted_rows[first]] += np.add.reduceat(values.take(order, axis=0), first)
+
+
+def _share(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), in place of ``x``."""
+    np.minimum(np.maximum(x, -30, out=x), 30, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 class Trainer:
@@ -288,17 +296,20 @@ class Trainer:
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray, place: np.ndarray | None = None) -> None:
         v = self.values
         noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE)), len(self.cumulated) - 1)
-        c1, c2 = v["context"][one], v["context"][two]
+        c1, c2 = v["context"].take(one, axis=0), v["context"].take(two, axis=0)
         predicted = c1 @ v["place1"] + c2 @ v["place2"]
         hit = np.flatnonzero(place >= 0) if place is not None and self.own is not None else np.zeros(0, np.int64)
-        q, q_noise = v["output"][word], v["output"][noise]
+        q, q_noise = v["output"].take(word, axis=0), v["output"][noise]
         true = np.einsum("ij,ij->i", predicted, q) + v["bias"][word] - self.log_expected[word]
-        false = predicted @ q_noise.T + (v["bias"][noise] - self.log_expected[noise])
-        up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-        down = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
-        toward = up[:, None] * q + down @ q_noise
+        false = predicted @ q_noise.T
+        false += v["bias"][noise] - self.log_expected[noise]
+        up = _share(true)
+        down = _share(np.negative(false, out=false))
+        np.negative(down, out=down)
+        toward = up[:, None] * q
+        toward += down @ q_noise
         if len(hit):
-            toward[hit] += self.inside(predicted[hit], place[hit])
+            toward[hit] += self.inside(predicted.take(hit, axis=0), place[hit])
         grad = {k: np.zeros_like(x) for k, x in v.items()}
         _add_rows(grad["output"], word, up[:, None] * predicted)
         np.add.at(grad["output"], noise, down.T @ predicted)
@@ -313,16 +324,16 @@ class Trainer:
             self.squares[k] += g * g
             v[k] += RATE * g / np.sqrt(self.squares[k])
 
-
     def inside(self, p: np.ndarray, w: np.ndarray) -> np.ndarray:
         """The same estimation among the words of a class, for tokens with predicted vectors ``p`` and places ``w``.
 
         Only rows met are touched. Returns the gradient of the predicted vectors.
         """
         rows = np.column_stack([w, self.own.noise(self.rng, w, INNER_NOISE)])
-        q = self.inner["own"][rows]
+        q = self.inner["own"].take(rows, axis=0)
         score = np.einsum("md,mkd->mk", p, q) + self.inner["own_bias"][rows] - self.own.log_share[rows] - np.float32(np.log(INNER_NOISE))
-        toward = -1 / (1 + np.exp(np.clip(-score, -30, 30)))
+        toward = _share(np.negative(score, out=score))
+        np.negative(toward, out=toward)
         toward[:, 0] += 1
         back = np.einsum("mk,mkd->md", toward, q)
         flat = rows.ravel()
@@ -331,7 +342,7 @@ class Trainer:
         met = flat[order][first]
         grad = {"own": (toward[:, :, None] * p[:, None, :]).reshape(-1, p.shape[1]), "own_bias": toward.ravel()}
         for k, g in grad.items():
-            g = np.add.reduceat(g[order], first)
+            g = np.add.reduceat(g.take(order, axis=0), first)
             self.inner_squares[k][met] += g * g
             self.inner[k][met] += RATE * g / np.sqrt(self.inner_squares[k][met])
         return back
@@ -409,7 +420,7 @@ class Scorer:
         out = np.zeros(len(place))
         hit = np.flatnonzero(place >= 0)
         if len(hit) and self.inner is not None:
-            out[hit] = own.log_gain(self.inner, self.lead1[c1[hit]] + self.lead2[c2[hit]], place[hit]) / LN10
+            out[hit] = own.log_gain(self.inner, self.lead1.take(c1[hit], axis=0) + self.lead2.take(c2[hit], axis=0), place[hit]) / LN10
         return out
 
     def log10(self, word: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:

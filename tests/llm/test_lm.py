@@ -182,3 +182,10 @@ def test_codes_keep_the_class_of_two_last_bytes():
     codes = lm._Codes(known)
     assert [codes[w] for w in (b"the", b"other", b"x", b"r", b"over")] == [0, *(-1 - lm.class_of(w) for w in (b"other", b"x", b"r", b"over"))]
     assert len(codes) == 1 and len(codes.ends) == 3
+
+
+def test_share_is_the_clipped_logistic_in_place():
+    x = np.array([-50, -1.5, 0, 2, 80], np.float32)
+    want = 1 / (1 + np.exp(np.clip(x, -30, 30)))
+    got = lm._share(x)
+    assert got is x and (got == want).all()
