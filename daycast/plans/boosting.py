@@ -11,7 +11,8 @@ same steps run to the end in the tasks that hold the blocks, in one job.
 The rules are those of ``GBTRegressor`` with squared error (at most ``maxBins`` bins
 whose cuts follow the value counts, variance gain, the first of equal gains, leaves
 without gain), and sums are made in row order, so a fold in one block has Spark
-ML's trees. Beyond SPLIT_ROWS rows the cuts come, as there, from a random share.
+ML's trees. There, beyond SPLIT_ROWS rows the cuts come from a random share; here they
+always come from the values of all rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from daycast.plans.trees import FlatTrees
 
-#: Rows that the cuts are chosen from, as in Spark ML (or maxBins squared, if more).
+#: Beyond so many rows of a fold, the values that its cuts come from are sorted in ranges, not a feature a task.
 SPLIT_ROWS = 10_000
 #: Rows of a block: the histograms of a block are counted in one task.
 BLOCK_ROWS = 20_000
@@ -80,11 +81,12 @@ def value_cuts(value: np.ndarray, count: np.ndarray, most: int) -> np.ndarray:
     return np.array(out)
 
 
-def split_cuts(rows: DataFrame, vector_col: str, n: int, max_bins: int, seed: int) -> list[np.ndarray]:
-    """The cuts of every feature; each feature's distinct values meet in one task."""
-    most, wanted = min(max_bins, n) - 1, max(max_bins * max_bins, SPLIT_ROWS)
-    some = rows if n <= wanted else rows.sample(fraction=wanted / n, seed=seed)
-    counts = some.select(F.posexplode(vector_to_array(vector_col)).alias("f", "v")).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
+def split_cuts(rows: DataFrame, vector_col: str, n: int, max_bins: int) -> list[np.ndarray]:
+    """The cuts of every feature, by the rule of :func:`value_cuts` on the values of all ``n`` rows."""
+    most = min(max_bins, n) - 1
+    counts = rows.select(F.posexplode(vector_to_array(vector_col)).alias("f", "v")).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
+    if n > SPLIT_ROWS:
+        return _ranged_cuts(counts, n, most)
 
     def cuts(table: pa.Table) -> pa.Table:
         table = table.sort_by("v")
@@ -95,6 +97,68 @@ def split_cuts(rows: DataFrame, vector_col: str, n: int, max_bins: int, seed: in
     return [np.array(r["cuts"], float) for r in sorted(found, key=lambda r: r["f"])]
 
 
+def _ranged_cuts(counts: DataFrame, n: int, most: int) -> list[np.ndarray]:
+    """:func:`value_cuts` of every feature in ``counts`` (f, v, n) of ``n`` rows, whose values are sorted in ranges.
+
+    A cut follows where the rows counted so far come closest to its target, at least one
+    value after the cut before it. So three passes over the ranges do: how many values and rows
+    each has, how many values lie before each target, and the values on both sides of the cuts.
+    """
+    parts = counts.repartitionByRange("f", "v").sortWithinPartitions("f", "v").withColumn("p", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    targets = np.cumsum(np.full(most, float(n) / (most + 1)))
+
+    def walk(batches: Iterator[pa.RecordBatch], starts: dict):
+        """(feature, values before, rows before, values, counts) of the values that follow each other."""
+        at = dict(starts)
+        for batch in batches:
+            p, f, v, c = (batch.column(x).to_numpy() for x in ("p", "f", "v", "n"))
+            edges = np.r_[0, np.flatnonzero((np.diff(f) != 0) | (np.diff(p) != 0)) + 1, len(f)]
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if b > a:
+                    key = (int(p[a]), int(f[a]))
+                    place, seen = at[key]
+                    yield key[1], place, seen, v[a:b], c[a:b]
+                    at[key] = place + b - a, seen + int(c[a:b].sum())
+
+    try:
+        starts, size, rows = {}, {}, {}
+        for p, f, values, held in parts.groupBy("p", "f").agg(F.count(F.lit(1)), F.sum("n")).orderBy("p", "f").collect():
+            starts[p, f] = size.get(f, 0), rows.get(f, 0)
+            size[f], rows[f] = size.get(f, 0) + values, rows.get(f, 0) + held
+
+        def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: dict[int, np.ndarray] = {}
+            for f, place, seen, _, c in walk(batches, starts):
+                upto = seen + np.cumsum(c)
+                first = np.searchsorted(upto, targets, side="right")
+                # All values before this one are too early; it is itself if its rows end closer to the target than they begin.
+                some = np.minimum(first, len(c) - 1)
+                late = np.abs(upto[some] - c[some] - targets) >= np.abs(upto[some] - targets)
+                first = np.where((first < len(c)) & late, first + 1, first)
+                found[f] = found.get(f, 0) + np.maximum(first, 1 if place == 0 else 0)
+            for f, count in found.items():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(most, f, np.int32)), pa.array(np.arange(most, dtype=np.int32)), pa.array(count.astype(np.int64))], ["f", "j", "n"])
+
+        early = {f: np.zeros(most, np.int64) for f in size}
+        for f, j, count in parts.mapInArrow(before, "f int, j int, n long").groupBy("f", "j").agg(F.sum("n")).collect():
+            early[f][j] = count
+        places = {}
+        for f, some in early.items():
+            after = np.arange(most) + np.maximum.accumulate(some - np.arange(most)) if size[f] - 1 > most else np.arange(1, size[f])
+            places[f] = after[after < size[f]]
+
+        def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for f, place, _, v, _ in walk(batches, starts):
+                wanted = np.union1d(places[f], places[f] - 1) - place
+                wanted = wanted[(wanted >= 0) & (wanted < len(v))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(wanted), f, np.int32)), pa.array(wanted + place), pa.array(v[wanted])], ["f", "place", "v"])
+
+        value = {(f, place): v for f, place, v in parts.mapInArrow(beside, "f int, place long, v double").collect()}
+    finally:
+        parts.unpersist()
+    return [np.array([(value[f, i - 1] + value[f, i]) / 2.0 for i in places[f].tolist()], float) for f in sorted(places)]
+
+
 def binned(rows: DataFrame, vector_col: str, label_col: str, number: int, cuts: list[np.ndarray]) -> DataFrame:
     """The rows in blocks of at most BLOCK_ROWS: fold, each value's bin, label."""
     kind = np.uint8 if max(map(len, cuts)) < 256 else np.uint16
@@ -248,14 +312,15 @@ def _split(tree: _Tree, nodes: list[int], found: tuple, level: int, depth: int)
 def boosted(folds: dict[int, DataFrame], vector_col: str, label_col: str, models: list[dict], max_bins: int, seed: int) -> dict[tuple[int, int], FlatTrees]:
     """The fitted ensemble of every (fold, place in ``models``); a model has maxIter, stepSize and maxDepth.
 
-    The driver holds the trees, whose size depends on the grid alone, and a level's splits.
+    The driver holds the trees, whose size depends on the grid alone, and a level's splits. Nothing is random,
+    so ``seed`` changes nothing.
     """
     cuts, tables = {}, []
     for number, rows in folds.items():
         n = rows.count()
         if not n:
             raise ValueError(f"fold {number} has no training row")
-        cuts[number] = split_cuts(rows, vector_col, n, max_bins, seed)
+        cuts[number] = split_cuts(rows, vector_col, n, max_bins)
         tables.append(binned(rows, vector_col, label_col, number, cuts[number]))
     kind = {f: np.uint8 if max(map(len, c)) < 256 else np.uint16 for f, c in cuts.items()}
     n_cuts = {f: np.array([len(x) for x in c]) for f, c in cuts.items()}

@@ -31,9 +31,6 @@ ADMISSION_PARAMS = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 4, "maxBins": 6
 OCCUPANCY_PARAMS = {"numTrees": 100, "maxDepth": None, "min_samples_split": 2, "maxBins": 64, "seed": 42}
 # Spark's deepest tree: what maxDepth=None ("unlimited") means. A larger explicit depth is an error.
 MAX_TREE_DEPTH = 30
-# A fit uses at most about so many rows: beyond that, a share picked by hash. It bounds the
-# trees, which grow with the rows and are sent to every executor. None: all rows.
-MAX_FIT_ROWS = 1_000_000
 
 PRED_ADM = "predicted_admissions"
 PRED_OCC = "predicted_occupancy"
@@ -59,8 +56,8 @@ def _depth(depth) -> int:
     return int(depth)
 
 
-def fit_rows(df: DataFrame, limit: int | None = MAX_FIT_ROWS) -> DataFrame:
-    """All rows, or beyond ``limit`` of them a share picked by a hash of the row's values."""
+def fit_rows(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """All rows; only for a caller that sets ``limit``, beyond it a share picked by a hash of the row's values."""
     n = df.count() if limit else 0
     if not limit or n <= limit:
         return df
@@ -91,19 +88,19 @@ def occupancy_regressor(label: str = S.OCCUPANCY, prediction: str = PRED_OCC, **
 
 
 def fit_admissions(df: DataFrame, features, label: str = S.ADMISSIONS, **params) -> PipelineModel:
-    """M2. ``max_fit_rows`` bounds the rows used (see :func:`fit_rows`)."""
-    limit = params.pop("max_fit_rows", MAX_FIT_ROWS)
+    """M2, on all rows unless the caller gives ``max_fit_rows`` (see :func:`fit_rows`)."""
+    limit = params.pop("max_fit_rows", None)
     return scaled_pipeline(features, admissions_regressor(label, **params), "adm").fit(fit_rows(df, limit))
 
 
 def fit_occupancy(df: DataFrame, features, label: str = S.OCCUPANCY, **params) -> PipelineModel:
-    """M3. ``max_fit_rows`` bounds the rows used.
+    """M3, on all rows unless the caller gives ``max_fit_rows``.
 
     ``min_samples_split``: no node of fewer rows is split. With every feature
     tried at each split it only ends growth, so the grown trees are cut there.
     Rows are counted as a tree draws them: one drawn twice counts twice.
     """
-    limit = params.pop("max_fit_rows", MAX_FIT_ROWS)
+    limit = params.pop("max_fit_rows", None)
     least = int(params.get("min_samples_split", OCCUPANCY_PARAMS["min_samples_split"]))
     fitted = scaled_pipeline(features, occupancy_regressor(label, **params), "occ").fit(fit_rows(df, limit))
     if least <= 2:  # a node of one row has nothing to split

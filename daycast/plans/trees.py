@@ -10,7 +10,7 @@ trees are walked together, and one large fit answers for every smaller one:
   to those before it, so the first n of them are the smaller ensemble.
 
 A fitted ensemble is held by the driver and sent to the executors by Spark ML as
-well; ``models.MAX_FIT_ROWS`` bounds it.
+well; a forest of unlimited depth grows with the rows.
 """
 
 from __future__ import annotations

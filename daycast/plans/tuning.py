@@ -73,11 +73,10 @@ class _Fold:
     def scaled(self) -> tuple[DataFrame, DataFrame]:
         """Cached (train, test): the scaled vector ``_x``, fitted on the training rows, and the label."""
         if self.tables is None:
-            train = MD.fit_rows(self.train)
             stages = MD.scaled_pipeline(self.features, MD.admissions_regressor(self.label), "fold").getStages()
-            scaler = Pipeline(stages=stages[:-1]).fit(train)
+            scaler = Pipeline(stages=stages[:-1]).fit(self.train)
             self.tables = tuple(scaler.transform(part).select(F.col("_fold_scaled").alias("_x"), F.col(self.label).cast("double").alias(self.label))
-                                .persist(StorageLevel.MEMORY_AND_DISK) for part in (train, self.test))
+                                .persist(StorageLevel.MEMORY_AND_DISK) for part in (self.train, self.test))
         return self.tables
 
     def trees(self, params: dict) -> TR.FlatTrees:

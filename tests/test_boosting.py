@@ -7,6 +7,7 @@ from daycast.plans import models as MD
 from daycast.plans import trees as TR
 from daycast.plans import tuning as TU
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import array_to_vector
 
 MODELS = [{"maxIter": 6, "stepSize": 0.1, "maxDepth": 5}, {"maxIter": 3, "stepSize": 0.2, "maxDepth": 2}]
 
@@ -62,3 +63,34 @@ def test_a_whole_grid_takes_few_jobs(spark, scaled):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert results.count() == 8 * 2
     assert len(tracker.getJobIdsForGroup(group)) < 100  # with a fit a candidate: 8 fits of 20 rounds, each of 4 jobs or more
+
+
+def test_cuts_come_from_all_rows(spark, monkeypatch):
+    """More rows than Spark ML draws its cuts from: the cuts are those of all values, over many ranges."""
+    r = np.random.default_rng(3)
+    n = 12_000
+    columns = [r.normal(size=n), r.integers(0, 5, n).astype(float), np.where(r.random(n) < 0.6, 7.0, r.normal(size=n) * 9), np.zeros(n), r.integers(0, 40, n).astype(float)]
+    values = np.stack(columns, axis=1)
+    rows = spark.createDataFrame([(x.tolist(),) for x in values], "v array<double>").select(array_to_vector("v").alias("x")).repartition(7).persist()
+    got = BO.split_cuts(rows, "x", n, 32)
+    for column, cuts in zip(columns, got, strict=True):
+        assert cuts.tolist() == BO.value_cuts(*np.unique(column, return_counts=True), 31).tolist()
+    monkeypatch.setattr(BO, "SPLIT_ROWS", n)
+    for a, b in zip(got, BO.split_cuts(rows, "x", n, 32), strict=True):
+        assert a.tolist() == b.tolist()
+
+
+def test_a_grid_fits_on_all_rows(spark, monkeypatch):
+    """No row of a fold is left out of its fits, however many there are."""
+    daily = J.prepare_model_input(catalog.orders_features(spark, "/root/testdata/sf0.001")).persist()
+    # A limit that holds unless the caller sets one, brought down to this table's size.
+    monkeypatch.setattr(MD, "MAX_FIT_ROWS", 100, raising=False)
+    monkeypatch.setattr(MD.fit_rows, "__defaults__", tuple(limit and 100 for limit in MD.fit_rows.__defaults__))
+    fitted = {}
+    whole = BO.boosted
+    monkeypatch.setattr(BO, "boosted", lambda folds, *a: fitted.update({k: f.count() for k, f in folds.items()}) or whole(folds, *a))
+    TU.grid_search(daily, J.default_features(daily), "admissions", {"maxIter": [1], "maxDepth": [1]}, 2, parallelism=1)
+    days = daily.count()
+    assert fitted == {0: days - 2 * (days // 3), 1: days - days // 3}
+    model = MD.fit_admissions(daily, J.default_features(daily), maxIter=1, maxDepth=1)
+    assert model.stages[-1].trees[0]._call_java("rootNode").impurityStats().count() == days
