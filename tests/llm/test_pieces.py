@@ -2,6 +2,7 @@ import itertools
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from daycast.llm import pieces, queries
@@ -152,3 +153,26 @@ def test_rare_units_are_folded_where_their_places_are(frame, monkeypatch):
 def test_units_hand_on_an_array_once(frame):
     rows = frame([("▁the", [3, 4]), ("q" * 70, [5])], "unit string, n array<long>").groupBy("unit").agg({"n": "first"}).withColumnRenamed("first(n)", "n")
     assert {r["unit"]: r["n"] for r in pieces.encode_units(rows, pieces.load(), "both").collect()} == {"▁the": [3, 4], "q" * 70: [5]}
+
+
+def test_every_occurrence_is_decoded_and_summed(monkeypatch):
+    """A unit's ids are put down, decoded and weighted wherever it occurs, in steps of any size."""
+    texts = ["the weather the weather", "", "café the the 漢字 café", "x the zebra", "  the ", "rare"]
+    model, known = pieces.load(), sorted({u for t in texts for u in pieces.units_of(t)} - {"▁zebra", "▁rare"})
+    table = {p: k for k, p in enumerate(model.text)}
+    ids = lambda u, rule: pieces._filled(u, pieces._long(u, table, model, rule), table, model.id.tolist(), model).tolist()
+    sent = pa.table({"unit": known, "ids": pa.array([ids(u, "merge") for u in known], pa.list_(pa.int32())), "best": pa.array([ids(u, "viterbi") for u in known], pa.list_(pa.int32()))})
+    seen, whole = [], pieces.decoded
+    monkeypatch.setattr(pieces, "decoded", lambda x, names: seen.extend(x.tolist()) or whole(x, names))
+    for step in (pieces.SUMMED, 3):
+        monkeypatch.setattr(pieces, "SUMMED", step)
+        seen.clear()
+        per_text, runs, missing, place, unit = pieces._summed(texts, pieces._numbered(sent, model.names))
+        assert missing.tolist() == [0, 0, 0, 1, 0, 1] and unit == ["▁zebra", "▁rare"] and place.tolist() == [2, 0]
+        assert seen == [i for t in texts for u in pieces.units_of(t) if u in known for i in ids(u, "merge")]
+        for t, run in zip(texts, runs.to_pylist(), strict=True):
+            units = [(k, u) for k, u in enumerate(pieces.units_of(t)) if u in known]
+            want = []
+            for values in ([ids(u, "merge") for _, u in units], [ids(u, "viterbi") for _, u in units], [[ord(c) for c in u.replace("▁", " ")] for _, u in units]):
+                want += [sum(map(len, values)), sum(int(pieces.checksum(np.full(len(x), k), np.arange(len(x)), np.array(x)).sum()) for (k, _), x in zip(units, values)) % 2**32]
+            assert [(r["first_unit"], r["units"], *[r[c] for c in pieces.SUMS]) for r in run] == ([(0, len(units), *want)] if units else [])
